@@ -1,12 +1,17 @@
 """Text expressions."""
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, functions as F
 
 RECODE_LIMIT = 100
 
+# Every character Unicode counts as white space.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+    "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
 
 def trimmed(*names: str) -> dict[str, Column]:
     """``withColumns`` map that strips ASCII spaces (tabs stay)."""
@@ -26,20 +31,18 @@ def recode(
     if len(mapping) > RECODE_LIMIT:
         raise ValueError(f"{len(mapping)} labels: keep them in a table and join it")
     label = F.lower(F.trim(col)) if fold else col
-    (first, value), *rest = mapping.items()
-    chain = F.when(label == first, F.lit(value))
-    chain = reduce(lambda c, pair: c.when(label == pair[0], F.lit(pair[1])), rest, chain)
-    return chain.otherwise(otherwise)
+    table = F.create_map(*[F.lit(v) for pair in mapping.items() for v in pair])
+    return F.coalesce(F.try_element_at(table, label), otherwise)
 
 
 def free_text_key(col: Column) -> Column:
     """Compare form of free text: underscores to spaces, then strip, then lower case."""
-    return F.lower(strip_all_space(F.translate(col, "_", " ")))
+    return F.lower(strip_all_space(F.replace(col, F.lit("_"), F.lit(" "))))
 
 
 def strip_all_space(col: Column) -> Column:
     """Strip every Unicode space character, not only the ASCII one."""
-    return F.regexp_replace(col, r"(?U)^\s+|\s+$", "")
+    return F.btrim(col, F.lit(WHITE_SPACE))
 
 
 def route_key(start: Column, end: Column, separator: str = "-", upper: bool = False) -> Column:

@@ -85,15 +85,15 @@ def training_rows(canonical: DataFrame) -> DataFrame:
 
 def baseline_rows(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Raw history prepared for the price baseline; ``keep`` carries row-order columns."""
-    renamed = raw.withColumnsRenamed({"class": "cabin_class", "duration": "duration_hours"})
     texts = ("airline", "source_city", "destination_city", "cabin_class")
-    prepared = renamed.select(
+    # Rows without a text go first, on the columns as stored, so the scan can skip them.
+    stored = raw.withColumnsRenamed({"class": "cabin_class"}).dropna(subset=list(texts[1:]))
+    prepared = stored.select(
         *[X.free_text_key(F.col(c)).alias(c) for c in texts],
         stops_count(F.col("stops"), HISTORY_STOPS, 2, fold=False).alias("stops"),
-        X.exact_minutes(F.col("duration_hours")).alias("duration_minutes"),
+        X.exact_minutes(F.col("duration")).alias("duration_minutes"),
         F.col("days_left").try_cast("double").alias("days_left"),
         F.col("price").try_cast("double").alias("price"),
         *keep,
     )
-    required = (*texts[1:], "duration_minutes", "days_left", "price")
-    return prepared.dropna(subset=list(required))
+    return prepared.dropna(subset=["duration_minutes", "days_left", "price"])

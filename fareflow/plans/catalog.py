@@ -30,6 +30,7 @@ from fareflow.sources import (
     next_offsets,
     read_from_offsets,
     read_parts,
+    spread,
     union_parts,
 )
 from fareflow.workspace import new_folder, settle
@@ -72,10 +73,9 @@ def text_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def baseline_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    past = standardize.baseline_rows(
-        testbed.history_raw(spark, sf_dir), keep=testbed.ROW_ORDER[:-1]
-    )
-    quotes = testbed.quotes_of(unique_live(spark, sf_dir))
+    line = spread(testbed.table(spark, sf_dir, "lineitem"), "l_orderkey", "l_partkey")
+    past = standardize.baseline_rows(testbed.shape_history(line), keep=testbed.ROW_ORDER[:-1])
+    quotes = settle(testbed.quotes_of(unique_live(spark, sf_dir)), "quotes")
     return nearest.nearest_median(quotes, past, testbed.ROW_ORDER)
 
 
@@ -219,7 +219,8 @@ def dataset_profile(spark, sf_dir):
 
 @query
 def live_payload(spark, sf_dir):
-    return testbed.live_payload(spark, sf_dir)
+    events = spread(testbed.table(spark, sf_dir, "events"), "event_id")
+    return decode_payload(testbed.live_log(events))
 
 
 @query
@@ -575,7 +576,7 @@ def stream_gold_refresh(spark, sf_dir):
 
 
 def payload_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decode_payload(testbed.live_log(testbed.events_stream(spark, sf_dir)))
+    return testbed.live_rows(testbed.events_stream(spark, sf_dir))
 
 
 def run_dedup(spark: SparkSession, sf_dir: str, label: str, keys, mode: str) -> DataFrame:

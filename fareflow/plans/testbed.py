@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from fareflow.constants import AIRPORT_CODES, CITIES
 from fareflow.functions import free_text_key
 from fareflow.schemas import STRING, struct
-from fareflow.sources.message_log import decode_payload
+from fareflow.sources.tables import read_table, spread
 
 RAW_CARRIERS = ("Vistara", "Air_India", "Indigo", "GO_FIRST", "AirAsia", "SpiceJet")
 DAY_PARTS = ("Early_Morning", "Morning", "Afternoon", "Evening", "Night", "Late_Night")
@@ -16,7 +16,7 @@ ROW_ORDER = ("order_no", "line_no", "part_no", "supplier_no", "price")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return read_table(spark, f"{sf_dir}/{name}.parquet")
 
 
 def pick(values: tuple[str, ...], index: Column) -> Column:
@@ -29,7 +29,10 @@ def every(number: Column, n: int) -> Column:
 
 def history_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as raw history rows, with columns that give the table's row order."""
-    line = table(spark, sf_dir, "lineitem")
+    return shape_history(table(spark, sf_dir, "lineitem"))
+
+
+def shape_history(line: DataFrame) -> DataFrame:
     order, part, number = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_linenumber")
     carrier = pick(RAW_CARRIERS, F.col("l_suppkey") % 6)
     start, end = part % 6, (part % 6 + 1 + order % 5) % 6
@@ -70,65 +73,70 @@ def history_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def live_log(events: DataFrame) -> DataFrame:
-    """Events as a message log. Every tenth event is sent again five minutes later."""
-    event, user = F.col("event_id"), F.col("user_id")
-    copies = F.when(every(event, 10), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    sent = events.withColumn("copy", F.explode(copies)).withColumn(
-        "k", F.get_json_object("props", "$.k").cast("int")
-    )
-    moment = F.col("ts").cast("timestamp") + F.make_dt_interval(mins=F.col("copy") * 5)
-    day = F.date_add(F.to_date("ts"), F.col("k") % 51 - 1)
+def sent_events(events: DataFrame) -> DataFrame:
+    """Events as sent: every tenth one again, as if observed five minutes later."""
+    copies = F.when(every(F.col("event_id"), 10), F.array(F.lit(0), F.lit(1)))
+    return events.withColumn(
+        "copy", F.explode(F.coalesce(copies, F.array(F.lit(0))))
+    ).withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+
+
+def payload_fields() -> dict[str, Column]:
+    """The payload columns of a sent event."""
+    event, user, k = F.col("event_id"), F.col("user_id"), F.col("k")
     kind = F.col("event_type")
-    payload = F.struct(
-        event.cast("string").alias("event_id"),
-        F.when(every(event, 43), F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss"))
-        .otherwise(F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
-        .alias("observed_at"),
-        F.when(user % 50 == 8, "Goa").otherwise(pick(CITIES, user % 6)).alias("source_city"),
-        F.when(user % 30 == 7, "Goa")
-        .otherwise(pick(CITIES, (user % 6 + 1 + F.floor(user / 6) % 5) % 6))
-        .alias("destination_city"),
-        F.when(every(event, 107), "2026-13-45")
-        .otherwise(F.date_format(day, "yyyy-MM-dd"))
-        .alias("travel_date"),
-        F.when(every(event, 59), None)
+    moment = F.col("ts").cast("timestamp") + F.make_dt_interval(mins=F.col("copy") * 5)
+    day = F.date_add(F.to_date("ts"), k % 51 - 1)
+    express = (kind == "signup") & every(user, 3)
+    return {
+        "event_id": event.cast("string"),
+        "observed_at": F.when(
+            every(event, 43), F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss")
+        ).otherwise(F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")),
+        "source_city": F.when(user % 50 == 8, "Goa").otherwise(pick(CITIES, user % 6)),
+        "destination_city": F.when(user % 30 == 7, "Goa").otherwise(
+            pick(CITIES, (user % 6 + 1 + F.floor(user / 6) % 5) % 6)
+        ),
+        "travel_date": F.when(every(event, 107), "2026-13-45").otherwise(
+            F.date_format(day, "yyyy-MM-dd")
+        ),
+        "airline": F.when(every(event, 59), None)
         .when(kind == "click", "IndiGo")
         .when(kind == "view", "Air India ")
         .when(kind == "purchase", " SpiceJet")
-        .when((kind == "signup") & every(user, 3), "Air India Express")
+        .when(express, "Air India Express")
         .when(kind == "signup", "Akasa Air")
-        .otherwise("THAI")
-        .alias("airline"),
-        F.when(kind == "click", "6E")
+        .otherwise("THAI"),
+        "airline_code": F.when(kind == "click", "6E")
         .when(kind == "view", " ai ")
         .when(kind == "purchase", "xx")
-        .when((kind == "signup") & every(user, 3), "IX")
-        .when(kind == "error", "multi")
-        .alias("airline_code"),
-        F.date_format("ts", "HH:mm").alias("departure_time"),
-        F.date_format(F.col("ts") + F.make_dt_interval(mins=F.col("k") * 25), "HH:mm").alias(
-            "arrival_time"
-        ),
-        pick(("zero", " ONE ", "two_or_more", "two", "nonstop"), user % 5).alias("stops"),
-        (F.col("k") * 25).alias("duration"),
-        F.when(user % 25 == 8, "First")
+        .when(express, "IX")
+        .when(kind == "error", "multi"),
+        "departure_time": F.date_format("ts", "HH:mm"),
+        "arrival_time": F.date_format(F.col("ts") + F.make_dt_interval(mins=k * 25), "HH:mm"),
+        "stops": pick(("zero", " ONE ", "two_or_more", "two", "nonstop"), user % 5),
+        "duration": k * 25,
+        "class": F.when(user % 25 == 8, "First")
         .when(every(user, 2), "Economy")
-        .otherwise(" Business")
-        .alias("class"),
-        F.when(every(event, 47), 0.0)
-        .when(~every(event, 53), F.floor(F.col("value") * 100).cast("double"))
-        .alias("price"),
-        F.lit(" inr ").alias("currency"),
-        (F.col("k") % 51 - 1).alias("days_left"),
-    )
-    text = F.to_json(payload)
+        .otherwise(" Business"),
+        "price": F.when(every(event, 47), 0.0).when(
+            ~every(event, 53), F.floor(F.col("value") * 100).cast("double")
+        ),
+        "currency": F.lit(" inr "),
+        "days_left": k % 51 - 1,
+    }
+
+
+def live_log(events: DataFrame) -> DataFrame:
+    """Events as a message log of JSON payloads, some of them broken."""
+    event = F.col("event_id")
+    text = F.to_json(F.struct(*[c.alias(n) for n, c in payload_fields().items()]))
     value = (
         F.when(every(event, 101), "{broken")
         .when(every(event, 103), F.regexp_replace(text, '"price":[0-9.E]+', '"price":"n/a"'))
         .otherwise(text)
     )
-    return sent.select(
+    return sent_events(events).select(
         F.lit("fares").alias("topic"),
         (event % 3).cast("int").alias("partition"),
         (event * 2 + F.col("copy")).alias("offset"),
@@ -136,8 +144,16 @@ def live_log(events: DataFrame) -> DataFrame:
     )
 
 
+def live_rows(events: DataFrame) -> DataFrame:
+    """The rows that decoding ``live_log`` gives, as the stored table holds them."""
+    event, fields = F.col("event_id"), payload_fields()
+    fields["price"] = F.when(~every(event, 103), fields["price"])
+    readable = {n: F.when(~every(event, 101), c) for n, c in fields.items()}
+    return sent_events(events).select(*[c.alias(n) for n, c in readable.items()])
+
+
 def live_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decode_payload(live_log(table(spark, sf_dir, "events")))
+    return live_rows(spread(table(spark, sf_dir, "events"), "event_id"))
 
 
 def airports(spark: SparkSession) -> DataFrame:
@@ -238,7 +254,8 @@ def responses_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.concat(
         F.lit('{"best_flights":['), best, F.lit(","), empty, F.lit('],"other_flights":['), other, F.lit("]}")
     )
-    return table(spark, sf_dir, "orders").select("o_orderkey", text.alias("value"))
+    orders = spread(table(spark, sf_dir, "orders"), "o_orderkey")
+    return orders.select("o_orderkey", text.alias("value"))
 
 
 def leg_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,6 +18,7 @@ from fareflow.sources.tables import (
     read_parts,
     read_table,
     rows_to_frame,
+    spread,
     stream_table,
     union_parts,
 )
@@ -37,6 +38,7 @@ __all__ = [
     "read_parts",
     "read_table",
     "rows_to_frame",
+    "spread",
     "stream_log",
     "stream_table",
     "union_parts",

@@ -66,9 +66,12 @@ def merge_offsets(previous: DataFrame, current: DataFrame) -> DataFrame:
 def decode_payload(
     log: DataFrame, schema: T.StructType = PAYLOAD, value: str = "value"
 ) -> DataFrame:
-    """JSON values to flat columns. Malformed JSON or a wrong type gives NULL fields."""
-    data = F.from_json(F.col(value).cast("string"), schema).alias("data")
-    return log.select(data).select("data.*")
+    """JSON values to flat columns. Malformed JSON or a wrong type gives NULL fields.
+
+    ``inline`` keeps later filters above the decoding; pushed below it, each of them would
+    parse the text again.
+    """
+    return log.select(F.inline(F.array(F.from_json(F.col(value).cast("string"), schema))))
 
 
 def encode_payload(columns: Sequence[str]) -> Column:

@@ -21,6 +21,16 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet", **options:
     return spark.read.format(fmt).options(**options).load(path)
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Spread a scan that would leave cores idle, such as one small file; else ``df`` as it is.
+
+    For work that costs far more than the scan. ``keys`` should tell rows apart. A table of
+    many files has more scan tasks than cores and gets no shuffle from this.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+
+
 def stream_table(
     spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet", **options: str
 ) -> DataFrame:

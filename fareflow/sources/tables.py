@@ -57,7 +57,8 @@ def read_parts(spark: SparkSession, paths: Sequence[str], fmt: str = "parquet")
 
 def union_parts(parts: Sequence[DataFrame]) -> DataFrame:
     """Bag union by column name; columns a part lacks are NULL."""
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    first, *rest = parts
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rest, first.select("*"))
 
 
 def rows_to_frame(spark: SparkSession, rows: Iterable, schema: T.StructType) -> DataFrame:

@@ -14,6 +14,7 @@ from fareflow.operators.ranking import top_per_group
 HIGH_CARDINALITY = 100
 TOP_VALUES = 5
 SHOWN_VALUES = 50
+SAMPLE_ROWS = 5
 
 
 def string_columns(df: DataFrame) -> list[str]:
@@ -170,27 +171,53 @@ def compare_columns(datasets: Mapping[str, DataFrame]) -> DataFrame:
     return spark.createDataFrame(rows, "column string, dataset string, present boolean")
 
 
+def sample_rows(df: DataFrame, *order: str, n: int = SAMPLE_ROWS) -> DataFrame:
+    """A few rows to look at: any ``n``, or the first by ``order``."""
+    return (df.orderBy(*order) if order else df).limit(n)
+
+
 def quality_summary(df: DataFrame, counts: DataFrame | None = None) -> DataFrame:
     """One row: rows, columns, duplicates, columns with NULLs, high-cardinality columns."""
     counts = value_counts(df) if counts is None else counts
-    with_nulls = null_counts(df).agg(
-        F.count_if(F.col("null_count") > 0).alias("columns_with_missing_values")
-    )
-    wide = distinct_per_column(counts).agg(
-        F.count_if(F.col("distinct_values") > HIGH_CARDINALITY).alias("high_cardinality_columns")
-    )
-    parts = [duplicate_rows(df), with_nulls, wide]
-    one = [p.select(F.lit(1).alias("_one"), "*") for p in parts]
-    joined = one[0].join(one[1], "_one").join(one[2], "_one")
-    return joined.select(
-        "rows",
-        F.lit(len(df.columns)).alias("columns"),
-        "duplicate_rows",
-        "columns_with_missing_values",
-        "high_cardinality_columns",
+    missing = F.count_if(F.col("null_count") > 0).alias("columns_with_missing_values")
+    wide = F.count_if(F.col("distinct_values") > HIGH_CARDINALITY).alias("high_cardinality_columns")
+    parts = [duplicate_rows(df), null_counts(df).agg(missing), distinct_per_column(counts).agg(wide)]
+    names = [name for part in parts for name in part.columns]
+    # Each part is one row; unite them in long form, so that no join is needed.
+    long = [part.unpivot([], part.columns, "metric", "value") for part in parts]
+    united = long[0].unionByName(long[1]).unionByName(long[2])
+    values = [F.max(F.when(F.col("metric") == name, F.col("value"))).alias(name) for name in names]
+    return united.agg(*values).select(
+        "rows", F.lit(len(df.columns)).alias("columns"), *names[1:]
     )
 
 
+def column_stats(df: DataFrame) -> DataFrame:
+    """``(column, metric, value)`` of the null, number and blank measures, from one scan."""
+    measures: list[tuple[str, str, Column]] = []
+    for field in df.schema:
+        col = F.col(f"`{field.name}`")
+        nulls = F.count_if(col.isNull())
+        percent = F.round(F.try_divide(nulls, F.count(F.lit(1))) * 100, 2)
+        found = {"null_count": nulls, "null_percent": F.coalesce(percent, F.lit(0.0))}
+        if isinstance(field.dataType, T.NumericType):
+            found["min_value"] = F.min(col).cast("double")
+            found["max_value"] = F.max(col).cast("double")
+            found["avg_value"] = F.round(F.avg(col), 2)
+        if isinstance(field.dataType, T.StringType):
+            found["empty_strings"] = F.count_if(col == "")
+            found["blank_strings"] = F.count_if(F.trim(col) == "")
+        measures += [(field.name, metric, value) for metric, value in found.items()]
+    one = df.agg(*[v.cast("string").alias(f"{m}@{c}") for c, m, v in measures])
+    rows = [
+        F.struct(
+            F.lit(c).alias("column"), F.lit(m).alias("metric"), F.col(f"`{m}@{c}`").alias("value")
+        )
+        for c, m, _ in measures
+    ]
+    return one.select(F.inline(F.array(*rows)))
+
+
 def _metrics(df: DataFrame, *names: str) -> DataFrame:
     """Rows ``(column, metric, value as text)`` of the named measures."""
     texts = df.select("column", *[F.col(n).cast("string").alias(n) for n in names])
@@ -210,9 +237,7 @@ def dataset_profile(df: DataFrame, counts: DataFrame | None = None) -> DataFrame
     )
     table_wide = duplicate_rows(df).withColumn("column", F.lit("*"))
     return (
-        _metrics(null_counts(df), "null_count", "null_percent")
-        .unionByName(_metrics(numeric_stats(df), "min_value", "max_value", "avg_value"))
-        .unionByName(_metrics(blank_counts(df), "empty_strings", "blank_strings"))
+        column_stats(df)
         .unionByName(_metrics(distinct_per_column(counts), "distinct_values"))
         .unionByName(ranked)
         .unionByName(_metrics(column_kinds(df), "type", "kind"))

@@ -203,6 +203,17 @@ def whitespace_issues(spark, sf_dir):
     return profile.outer_space_values(profile.value_counts(text_columns(spark, sf_dir)))
 
 
+@query
+def column_kinds(spark, sf_dir):
+    return profile.column_kinds(text_columns(spark, sf_dir))
+
+
+@query
+def sample_rows(spark, sf_dir):
+    keyed = testbed.history_raw(spark, sf_dir).select(*testbed.ROW_ORDER, "airline", "stops")
+    return profile.sample_rows(keyed, *testbed.ROW_ORDER)
+
+
 @query
 def quality_summary(spark, sf_dir):
     return profile.quality_summary(text_columns(spark, sf_dir))
@@ -343,13 +354,18 @@ def median_by_route(spark, sf_dir):
 @query
 def log_offsets(spark, sf_dir):
     log = testbed.live_log(testbed.table(spark, sf_dir, "events"))
-    return merge_offsets(half_offsets(log), next_offsets(log.filter("partition < 2")))
+    # Saved offsets of a consumer halfway, with as many partitions that got no new rows.
+    old = F.explode(F.array(F.col("partition"), F.col("partition") + 3)).alias("partition")
+    saved = half_offsets(log).select("topic", old, "next_offset")
+    return merge_offsets(saved, next_offsets(log))
 
 
 @query
 def log_read_from_offsets(spark, sf_dir):
     log = testbed.live_log(testbed.table(spark, sf_dir, "events"))
-    unread = read_from_offsets(log, settle(half_offsets(log).filter("partition < 2"), "offsets"))
+    # Shifted by one, so that the first partition has no saved offset and starts at 0.
+    saved = half_offsets(log).withColumn("partition", F.col("partition") + 1)
+    unread = read_from_offsets(log, settle(saved, "offsets"))
     return unread.select("topic", "partition", "offset")
 
 

@@ -297,6 +297,15 @@ KINDS = " UNION ALL ".join(
     + " AS kind"
     for c, t in TYPES.items()
 )
+ORACLE_SQL["column_kinds"] = KINDS + (
+    " UNION ALL SELECT 'duration', 'double', 'Duration Feature'"
+)
+ORACLE_SQL["sample_rows"] = with_(
+    RAW,
+    select="""SELECT l_orderkey AS order_no, l_linenumber AS line_no, l_partkey AS part_no,
+      l_suppkey AS supplier_no, price, airline, stops FROM raw
+      ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, price NULLS FIRST LIMIT 5""",
+)
 NARROW = "airline, flight, source_city, stops, class, days_left, price"
 ORACLE_SQL["dataset_profile"] = with_(
     RAW,
@@ -425,16 +434,14 @@ half AS (SELECT topic, partition, (max("offset") + 1) // 2 AS next_offset FROM l
 ORACLE_SQL["log_offsets"] = with_(
     SENT,
     LOG,
-    select="""SELECT topic, partition, max("offset") + 1 AS next_offset FROM log
-      WHERE partition < 2 GROUP BY ALL
-      UNION ALL SELECT topic, partition, next_offset FROM half WHERE partition >= 2""",
+    select="""SELECT topic, partition, max("offset") + 1 AS next_offset FROM log GROUP BY ALL
+      UNION ALL SELECT topic, CAST(partition + 3 AS INTEGER), next_offset FROM half""",
 )
 ORACLE_SQL["log_read_from_offsets"] = with_(
     SENT,
     LOG,
     select="""SELECT log.topic, log.partition, "offset" FROM log
-      LEFT JOIN half ON half.topic = log.topic AND half.partition = log.partition
-        AND half.partition < 2
+      LEFT JOIN half ON half.topic = log.topic AND half.partition + 1 = log.partition
       WHERE "offset" >= coalesce(next_offset, 0)""",
 )
 ORACLE_SQL["active_paths"] = """SELECT 'part-' || CAST(o_custkey AS VARCHAR) AS path,

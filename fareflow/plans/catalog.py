@@ -203,11 +203,6 @@ def whitespace_issues(spark, sf_dir):
     return profile.outer_space_values(profile.value_counts(text_columns(spark, sf_dir)))
 
 
-@query
-def column_kinds(spark, sf_dir):
-    return profile.column_kinds(text_columns(spark, sf_dir))
-
-
 @query
 def sample_rows(spark, sf_dir):
     keyed = testbed.history_raw(spark, sf_dir).select(*testbed.ROW_ORDER, "airline", "stops")

@@ -5,7 +5,9 @@ from them. The incremental form stores those partials per batch, so a refresh co
 the new batch and the partials cost, not the whole clean table.
 """
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
 
 from fareflow.operators.summaries import fare_partials, finish_partials, merge_partials
 from fareflow.operators.windows import slide_bucket, window_partials
@@ -17,18 +19,21 @@ CARRIER_KEYS = ("route", "travel_date", "airline", "airline_code", "class")
 WINDOW_KEYS = ("route", "class")
 FINEST_KEYS = (*CARRIER_KEYS, "bucket_start")
 
-ROUTE_SQL = """
-SELECT route, travel_date, class,
-       min(price) AS min_price, max(price) AS max_price,
-       round(avg(price), 2) AS avg_price, count(*) AS flight_count
-FROM {clean}
-GROUP BY ALL
-"""
+
+def summary_sql(keys: Sequence[str], price: str = "price", count: str = "flight_count") -> str:
+    """The price summary per key as SQL text over a frame named ``rows``."""
+    measures = {
+        count: "count(*)",
+        "avg_price": f"round(avg({price}), 2)",
+        "min_price": f"min({price})",
+        "max_price": f"max({price})",
+    }
+    columns = [*keys, *[f"{sql} AS {name}" for name, sql in measures.items()]]
+    return f"SELECT {', '.join(columns)} FROM {{rows}} GROUP BY {', '.join(keys)}"
 
 
 def route_prices_sql(clean: DataFrame) -> DataFrame:
-    """The route summary written as SQL text over a named DataFrame."""
-    return query_over(ROUTE_SQL, clean=clean)
+    return query_over(summary_sql(ROUTE_KEYS), rows=clean)
 
 
 def finest_partials(clean: DataFrame) -> DataFrame:
@@ -74,8 +79,3 @@ def write_gold(partials: DataFrame, folder: str, fmt: str = "parquet") -> None:
     for name, table in gold_tables(kept).items():
         overwrite_table(table, f"{folder}/{name}", fmt)
     kept.unpersist()
-
-
-def latest_gold_marker(clean: DataFrame) -> DataFrame:
-    """Newest event time the tables cover."""
-    return clean.agg(F.max("event_timestamp").alias("latest"))

@@ -145,11 +145,15 @@ def live_log(events: DataFrame) -> DataFrame:
 
 
 def live_rows(events: DataFrame) -> DataFrame:
-    """The rows that decoding ``live_log`` gives, as the stored table holds them."""
+    """The rows that decoding ``live_log`` gives, as the stored table holds them.
+
+    ``inline`` makes the texts once, as in a stored table; filters would make them again.
+    """
     event, fields = F.col("event_id"), payload_fields()
     fields["price"] = F.when(~every(event, 103), fields["price"])
     readable = {n: F.when(~every(event, 101), c) for n, c in fields.items()}
-    return sent_events(events).select(*[c.alias(n) for n, c in readable.items()])
+    row = F.struct(*[c.alias(n) for n, c in readable.items()])
+    return sent_events(events).select(F.inline(F.array(row)))
 
 
 def live_payload(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -297,9 +297,6 @@ KINDS = " UNION ALL ".join(
     + " AS kind"
     for c, t in TYPES.items()
 )
-ORACLE_SQL["column_kinds"] = KINDS + (
-    " UNION ALL SELECT 'duration', 'double', 'Duration Feature'"
-)
 ORACLE_SQL["sample_rows"] = with_(
     RAW,
     select="""SELECT l_orderkey AS order_no, l_linenumber AS line_no, l_partkey AS part_no,

@@ -24,6 +24,19 @@ r AS (SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END A
 SELECT d.doc_id, d.size, r.source_size, r.target,
        (d.size * (floor(rate)::BIGINT + (draw < rate - floor(rate))::BIGINT))::BIGINT AS taken
 FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source
+""",
+    "op5_top_k": r"""
+WITH v AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS parts
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, v.vec_id, CAST(list_inner_product(q.parts, v.parts) AS BIGINT) AS score
+  FROM v AS q JOIN v ON q.vec_id <> v.vec_id AND len(q.parts) = len(v.parts)
+  WHERE q.vec_id % 50 = 0),
+r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
+SELECT * FROM r WHERE rank <= 5
 """,
     "op10_contamination": f"""
 WITH i AS (SELECT item_id, {_WORDS} AS words FROM benchmark),

@@ -5,11 +5,25 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareflow.llm import contamination, mixture, secret_scan, simhash, toxicity
+from fareflow.llm import contamination, language, mixture, pii, secret_scan, simhash, token_lengths, topk, toxicity
 from fareflow.llm.oracle import ORACLE_SQL  # noqa: F401
 from fareflow.llm.texts import table
 
 
+def op1_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_private(table(spark, sf_dir, "documents"))
+
+
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language.learn(docs.filter(~language.held_out(F.col("doc_id"))))
+    return language.predict(docs, model).withColumn("held_out", language.held_out(F.col("doc_id")))
+
+
+def op3_token_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_lengths.length_histogram(table(spark, sf_dir, "documents"))
+
+
 def op4_source_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = mixture.copies_per_document(table(spark, sf_dir, "documents"))
     return rows.select(
@@ -17,6 +31,10 @@ def op4_source_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digest(simhash.near_duplicates(table(spark, sf_dir, "documents")))
 
@@ -48,5 +66,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op4_source_mixture, op6_simhash, op7_secret_scan, op9_toxicity, op10_contamination, pipeline)
+    for f in (
+        op1_private_data, op2_language, op3_token_lengths, op4_source_mixture, op5_top_k, op6_simhash, op7_secret_scan, op9_toxicity,
+        op10_contamination, pipeline,
+    )
 }

@@ -2,7 +2,9 @@
 
 import tempfile
 import uuid
+import zipfile
 from functools import cache
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,3 +39,20 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     path = new_folder(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers, once per application."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="fareflow-code-")) / "fareflow.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)

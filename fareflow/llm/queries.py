@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareflow.llm import contamination, language, mixture, pii, secret_scan, simhash, token_lengths, topk, toxicity
+from fareflow.llm import contamination, language, mixture, passages, pii, secret_scan, simhash, token_lengths, topk, toxicity
 from fareflow.llm.oracle import ORACLE_SQL  # noqa: F401
 from fareflow.llm.texts import table
 
@@ -43,6 +43,10 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.find_secrets(table(spark, sf_dir, "documents")))
 
 
+def op8_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.OrdinalModel | None:
     return toxicity.train(docs, table(spark, sf_dir, "labels"), F.col("toxic"), binary=True)
 
@@ -67,7 +71,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_private_data, op2_language, op3_token_lengths, op4_source_mixture, op5_top_k, op6_simhash, op7_secret_scan, op9_toxicity,
+        op1_private_data, op2_language, op3_token_lengths, op4_source_mixture, op5_top_k, op6_simhash, op7_secret_scan,
+        op8_repeated_passages, op9_toxicity,
         op10_contamination, pipeline,
     )
 }

@@ -7,11 +7,15 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
+from fareflow.workspace import ship
+
 #: Bytes of text that a Python worker handles at once (a longer single text is handled alone).
 PIECE_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table; the workers get this package with the first one."""
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

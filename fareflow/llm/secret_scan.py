@@ -145,24 +145,38 @@ def of_kind(spans: Column, kind: str) -> Column:
     return F.transform(spans, lambda m: F.struct(m["start"].alias("start"), number.alias("kind"), m["end"].alias("end")))
 
 
-def scan(docs: DataFrame) -> DataFrame:
-    """doc_id, base (array of start, kind, end) and tokens (array of start, end, band, bin)."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    base_of = {
+def base_spans(text: Column) -> Column:
+    """Array of (start, kind number, end) of the three patterns."""
+    found = {
         "assign": F.filter(matches(text, ASSIGN, 1), lambda m: F.length(m["value"]) >= ASSIGN_LENGTH),
         "access": matches(text, ACCESS),
         "hex": matches(text, HEX),
     }
+    return F.concat(*[of_kind(spans, kind) for kind, spans in found.items()])
+
+
+def tested_tokens(text: Column) -> Column:
+    """Array of (start, end, band, bin) of the long tokens of letters and digits."""
     tokens = F.filter(
         matches(text, TOKEN), lambda m: F.rlike(m["value"], F.lit("[0-9]")) & F.rlike(m["value"], F.lit("[A-Za-z]"))
     )
-    found = docs.select("doc_id", *[c.alias(k) for k, c in base_of.items()], tokens.alias("tokens"))
-    base = F.concat(*[of_kind(F.col(k), k) for k in base_of])
-    tested = F.transform("tokens", lambda m: F.struct(
+    tested = F.transform(tokens, lambda m: F.struct(
         m["start"].alias("start"), m["end"].alias("end"),
         band(F.length(m["value"])).alias("band"), p_bin(battery(m["value"])).alias("bin"),
     ))
-    return found.select("doc_id", base.alias("base"), F.filter(tested, lambda m: m["bin"].isNotNull()).alias("tokens"))
+    return F.filter(tested, lambda m: m["bin"].isNotNull())
+
+
+def random_tokens(tokens: Column, limits: dict[int, int]) -> Column:
+    """Those of the tested tokens that are not plainly regular."""
+    edges = F.array(*[F.lit(limits[b]) for b in range(len(BANDS))])
+    return F.filter(tokens, lambda m: m["bin"] < F.element_at(edges, m["band"] + 1))
+
+
+def scan(docs: DataFrame) -> DataFrame:
+    """doc_id, base (array of start, kind, end) and tokens (array of start, end, band, bin)."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    return docs.select("doc_id", base_spans(text).alias("base"), tested_tokens(text).alias("tokens"))
 
 
 def plain_from_bin(scanned: DataFrame, rate: float = RATE) -> dict[int, int]:
@@ -187,8 +201,7 @@ def find_secrets(docs: DataFrame, rate: float = RATE) -> DataFrame:
     """doc_id and spans: array of (start, kind number, end), sorted by start, then kind."""
     scanned = settle(scan(docs), "secrets")
     limits = plain_from_bin(scanned, rate)
-    edges = F.array(*[F.lit(limits[b]) for b in range(len(BANDS))])
-    kept = F.filter("tokens", lambda m: m["bin"] < F.element_at(edges, m["band"] + 1))
+    kept = random_tokens(F.col("tokens"), limits)
     return scanned.select("doc_id", F.array_sort(F.concat("base", of_kind(kept, "random"))).alias("spans"))
 
 
@@ -214,6 +227,12 @@ def digest(found: DataFrame) -> DataFrame:
 
 
 def without_secrets(docs: DataFrame, rate: float = RATE) -> DataFrame:
-    """The rows of ``docs`` whose id has no span in any row."""
-    hit = find_secrets(docs, rate).filter(F.size("spans") > 0).select(F.col("doc_id").alias("hit_id")).distinct()
-    return docs.join(hit, docs["doc_id"].eqNullSafe(hit["hit_id"]), "left_anti")
+    """The rows of ``docs`` whose text has no span, columns unchanged.
+
+    The counts of the tokens are gathered first; with them every row is decided by its own text,
+    so no text is shuffled.
+    """
+    text = F.coalesce(F.col("text"), F.lit(""))
+    tokens = settle(docs.select(tested_tokens(text).alias("tokens")).filter(F.size("tokens") > 0), "tokens")
+    random = random_tokens(tested_tokens(text), plain_from_bin(tokens, rate))
+    return docs.filter((F.size(base_spans(text)) == 0) & (F.size(random) == 0))

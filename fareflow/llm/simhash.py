@@ -253,13 +253,14 @@ def digest(found: DataFrame) -> DataFrame:
 def one_of_each(docs: DataFrame, width: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
     """The row of ``docs`` with the smallest id of each component, columns unchanged.
 
-    Ids decide and texts stay where they are; only the rows of an id that names a component and
+    The ids that stay grow with the corpus, so the join with them is a shuffle at every size, with
+    one id per build row and the texts streamed. Only the rows of an id that names a component and
     occurs more than once are told apart by a hash of their text, of which the smallest stays.
     """
     rows = settle(near_duplicates(docs, width, distance), "near")
     first = rows.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
     ids = settle(first.groupBy(F.col("doc_id").alias("id")).agg(F.count("*").alias("n")), "first")
-    single = ids.filter("n = 1")
+    single = ids.filter("n = 1").hint("shuffle_hash")
     kept = docs.join(single, docs["doc_id"].eqNullSafe(single["id"]), "left_semi")
     repeated = ids.filter("n > 1").withColumnRenamed("id", "of")
     if repeated.isEmpty():

@@ -1,6 +1,6 @@
 """Fixed values of the fare domain. Each is only a default for an operator argument."""
 
-# Cities served, in the order of the routes dimension.
+# Cities served, in the order of the airport map.
 CITIES = ("Delhi", "Mumbai", "Bangalore", "Chennai", "Hyderabad", "Kolkata")
 
 # Airport code of each city.

@@ -5,6 +5,8 @@ from fareflow.functions.numbers import (
     duration_text_minutes,
     exact_minutes,
     is_text,
+    known_number,
+    nan_to_null,
     positive_or_null,
     price_number,
     price_text,
@@ -15,6 +17,7 @@ from fareflow.functions.numbers import (
 from fareflow.functions.text import (
     business_id,
     free_text_key,
+    random_id,
     recode,
     route_key,
     strip_all_space,
@@ -41,10 +44,13 @@ __all__ = [
     "exact_minutes",
     "free_text_key",
     "is_text",
+    "known_number",
+    "nan_to_null",
     "positive_or_null",
     "price_number",
     "price_signal",
     "price_text",
+    "random_id",
     "recode",
     "rounded_minutes",
     "route_key",

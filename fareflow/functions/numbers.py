@@ -1,6 +1,6 @@
 """Numeric expressions: durations, prices, differences."""
 
-from pyspark.sql import Column, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from fareflow.constants import SIGNAL_THRESHOLD
 
@@ -15,6 +15,19 @@ def exact_minutes(hours: Column) -> Column:
     return hours.try_cast("double") * 60
 
 
+def nan_to_null(col: Column) -> Column:
+    """NaN, as a missing number comes from other tools, as NULL."""
+    return F.when(~F.isnan(col), col)
+
+
+def known_number(df: DataFrame, name: str) -> Column:
+    """A column for statistics: of a float or double column NaN is NULL."""
+    col = F.col(f"`{name}`")
+    return nan_to_null(col) if isinstance(df.schema[name].dataType, T.FractionalType) and not isinstance(
+        df.schema[name].dataType, T.DecimalType
+    ) else col
+
+
 def positive_or_null(col: Column) -> Column:
     return F.when(col > 0, col)
 

@@ -4,8 +4,6 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, functions as F
 
-RECODE_LIMIT = 100
-
 # Every character Unicode counts as white space.
 WHITE_SPACE = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
@@ -23,13 +21,11 @@ def recode(
 ) -> Column:
     """Replace labels by ``mapping``; ``otherwise`` answers for the rest.
 
-    ``fold`` matches on the trimmed, lower-case label. Mappings beyond ``RECODE_LIMIT``
-    entries belong in a table: see ``operators.lookup.attach``.
+    ``fold`` matches on the trimmed, lower-case label. A mapping of any size works; one that
+    is data rather than code belongs in a table: see ``operators.lookup.attach``.
     """
     if not mapping:
         return otherwise
-    if len(mapping) > RECODE_LIMIT:
-        raise ValueError(f"{len(mapping)} labels: keep them in a table and join it")
     label = F.lower(F.trim(col)) if fold else col
     table = F.create_map(*[F.lit(v) for pair in mapping.items() for v in pair])
     return F.coalesce(F.try_element_at(table, label), otherwise)
@@ -51,6 +47,11 @@ def route_key(start: Column, end: Column, separator: str = "-", upper: bool = Fa
     return F.concat_ws(separator, *ends)
 
 
+def random_id() -> Column:
+    """A new random id per row, for events whose replays need not be told apart."""
+    return F.uuid()
+
+
 def business_id(columns: Sequence[str]) -> Column:
     """An event id that a replay of the same record gets again."""
     return F.sha2(

@@ -1,35 +1,24 @@
 """Lookups, route pairs and search requests."""
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, functions as F
 
 from fareflow.constants import SEAT_NAMES
 
-BROADCAST_ROWS = 100_000
-
-
-def small_side(dim: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """``dim`` marked for broadcast if it has at most ``limit`` rows, else as it is.
-
-    Counts at most ``limit + 1`` rows. Beyond the limit the join shuffles and adaptive
-    execution splits hot keys.
-    """
-    if dim.limit(limit + 1).count() > limit:
-        return dim
-    return F.broadcast(dim)
-
-
 def attach(
     df: DataFrame, dim: DataFrame, on: Mapping[str, str], strict: bool = False
 ) -> DataFrame:
     """Left join of a keyed dimension: ``on`` maps columns of ``df`` to those of ``dim``.
 
+    There is no broadcast hint: Spark knows the size of stored tables and, under adaptive
+    execution, of shuffled ones, and broadcasts below its own byte limit.
+
     With ``strict`` a row without its match is an error, as a missing dictionary key is.
     """
     renamed = dim.withColumnsRenamed({right: left for left, right in on.items()})
     values = [c for c in renamed.columns if c not in on]
-    joined = df.join(small_side(renamed.withColumn("_hit", F.lit(True))), list(on), "left")
+    joined = df.join(renamed.withColumn("_hit", F.lit(True)), list(on), "left")
     if strict:
         shown = F.concat_ws(", ", *[F.col(c).cast("string") for c in on])
         miss = F.raise_error(F.concat(F.lit("no match for "), shown))
@@ -43,10 +32,15 @@ def observed_routes(df: DataFrame, start: str, end: str) -> DataFrame:
     return df.filter(F.col(start) != F.col(end)).select(start, end).distinct()
 
 
-def city_pairs(df: DataFrame, city: str, cities: Sequence[str], other: str) -> DataFrame:
-    """Every ordered pair of a row's city with another of a short fixed list of cities."""
-    others = F.explode(F.array(*[F.lit(c) for c in cities])).alias(other)
-    return df.select(city, others).filter(F.col(city) != F.col(other))
+def city_pairs(df: DataFrame, city: str, other: str) -> DataFrame:
+    """Every ordered pair of different cities that occur in ``city``.
+
+    The distinct cities are gathered in one array; there are as many as places served.
+    """
+    cities = df.select(city).filter(F.col(city).isNotNull()).distinct()
+    everywhere = cities.agg(F.array_sort(F.collect_set(city)).alias("_all"))
+    pairs = everywhere.select(F.explode("_all").alias(city), "_all")
+    return pairs.select(city, F.explode("_all").alias(other)).filter(F.col(city) != F.col(other))
 
 
 def search_requests(routes: DataFrame, seats: Mapping[str, str] = SEAT_NAMES) -> DataFrame:

@@ -6,14 +6,13 @@ that answers every question about string values.
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from fareflow.functions import strip_all_space
+from fareflow.functions import known_number, strip_all_space
 from fareflow.operators.ranking import top_per_group
 
 HIGH_CARDINALITY = 100
 TOP_VALUES = 5
-SHOWN_VALUES = 50
 SAMPLE_ROWS = 5
 
 
@@ -58,7 +57,7 @@ def numeric_stats(df: DataFrame, digits: int = 2) -> DataFrame:
     columns = numeric_columns(df)
     aggs = []
     for c in columns:
-        col = F.col(f"`{c}`")
+        col = known_number(df, c)
         aggs += [
             F.min(col).alias(f"min_value@{c}"),
             F.max(col).alias(f"max_value@{c}"),
@@ -103,23 +102,22 @@ def top_values(counts: DataFrame, k: int = TOP_VALUES) -> DataFrame:
     return top_per_group(counts, k, ["column"], order)
 
 
-def first_values(counts: DataFrame, k: int = SHOWN_VALUES) -> DataFrame:
-    """The first k distinct values per column in sort order."""
+def distinct_values(counts: DataFrame, k: int | None = None) -> DataFrame:
+    """All distinct values per column in sort order; for display at most the first ``k`` of each."""
     known = counts.filter(F.col("value").isNotNull())
-    return top_per_group(known, k, ["column"], [F.asc("value")]).select("column", "value", "rank")
+    if k is not None:
+        known = top_per_group(known, k, ["column"], [F.asc("value")])
+    return known.select("column", "value").orderBy("column", "value")
 
 
 def spelling_variants(counts: DataFrame) -> DataFrame:
     """Values that differ from another value only in case or outer space."""
     known = counts.filter(F.col("value").isNotNull())
     keyed = known.withColumn("spelling_key", F.lower(strip_all_space(F.col("value"))))
-    spread = keyed.groupBy("column", "spelling_key").agg(
-        F.min("value").alias("_low"), F.max("value").alias("_high")
-    )
-    several = spread.filter(F.col("_low") != F.col("_high")).select("column", "spelling_key")
-    return keyed.join(several, ["column", "spelling_key"], "left_semi").select(
-        "column", "spelling_key", "value", "rows"
-    )
+    # ``counts`` has one row per value; the counts are computed once, for the window alone.
+    forms = F.count(F.lit(1)).over(Window.partitionBy("column", "spelling_key"))
+    several = keyed.withColumn("_forms", forms).filter("_forms > 1")
+    return several.select("column", "spelling_key", "value", "rows")
 
 
 def outer_space_values(counts: DataFrame) -> DataFrame:
@@ -133,10 +131,15 @@ def outer_space_values(counts: DataFrame) -> DataFrame:
 
 
 def duplicate_rows(df: DataFrame) -> DataFrame:
-    """Rows beyond the first of each distinct row."""
-    groups = df.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(
-        F.count(F.lit(1)).alias("_copies")
-    )
+    """Rows beyond the first of each distinct row.
+
+    Rows are told apart by 128 bits of hash over all columns and over which of them are NULL,
+    so whole rows are not shuffled; two of 10^12 different rows agree with a chance of 10^-15.
+    """
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    columns += [c.isNull() for c in columns]
+    hashed = df.select(F.xxhash64(*columns).alias("_a"), F.xxhash64(F.lit(1), *columns[::-1]).alias("_b"))
+    groups = hashed.groupBy("_a", "_b").agg(F.count(F.lit(1)).alias("_copies"))
     return groups.agg(
         F.coalesce(F.sum("_copies"), F.lit(0)).alias("rows"),
         F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("duplicate_rows"),
@@ -146,6 +149,7 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
 def column_kinds(df: DataFrame, target: str = "price") -> DataFrame:
     """Name, type and role of each column; the first rule that fits decides."""
 
+    # The names of the roles.
     def kind(field: T.StructField) -> str:
         if field.name.lower() == target:
             return "Target Variable"
@@ -177,15 +181,31 @@ def sample_rows(df: DataFrame, *order: str, n: int = SAMPLE_ROWS) -> DataFrame:
 
 
 def quality_summary(df: DataFrame, counts: DataFrame | None = None) -> DataFrame:
-    """One row: rows, columns, duplicates, columns with NULLs, high-cardinality columns."""
+    """One row: rows, columns, duplicates, columns with NULLs, high-cardinality columns.
+
+    Row, duplicate and NULL counts come from one grouping of the row hashes; give settled
+    ``counts`` so that the table is not read again for the string values.
+    """
     counts = value_counts(df) if counts is None else counts
-    missing = F.count_if(F.col("null_count") > 0).alias("columns_with_missing_values")
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    gaps = [c.isNull() for c in columns]
+    hashes = [F.xxhash64(*columns, *gaps).alias("_a"), F.xxhash64(F.lit(1), *[*columns, *gaps][::-1]).alias("_b")]
+    # Equal rows have equal gaps, so one flag per column and group is enough.
+    groups = df.groupBy(*hashes).agg(
+        F.count(F.lit(1)).alias("_copies"), *[F.max(g).alias(f"_gap_{n}") for n, g in enumerate(gaps)]
+    )
+    missing = [F.coalesce(F.max(f"_gap_{n}"), F.lit(False)).cast("bigint") for n in range(len(gaps))]
+    table = groups.agg(
+        F.coalesce(F.sum("_copies"), F.lit(0)).alias("rows"),
+        F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("duplicate_rows"),
+        sum(missing, F.lit(0).cast("bigint")).alias("columns_with_missing_values"),
+    )
     wide = F.count_if(F.col("distinct_values") > HIGH_CARDINALITY).alias("high_cardinality_columns")
-    parts = [duplicate_rows(df), null_counts(df).agg(missing), distinct_per_column(counts).agg(wide)]
+    parts = [table, distinct_per_column(counts).agg(wide)]
     names = [name for part in parts for name in part.columns]
     # Each part is one row; unite them in long form, so that no join is needed.
     long = [part.unpivot([], part.columns, "metric", "value") for part in parts]
-    united = long[0].unionByName(long[1]).unionByName(long[2])
+    united = long[0].unionByName(long[1])
     values = [F.max(F.when(F.col("metric") == name, F.col("value"))).alias(name) for name in names]
     return united.agg(*values).select(
         "rows", F.lit(len(df.columns)).alias("columns"), *names[1:]
@@ -201,9 +221,10 @@ def column_stats(df: DataFrame) -> DataFrame:
         percent = F.round(F.try_divide(nulls, F.count(F.lit(1))) * 100, 2)
         found = {"null_count": nulls, "null_percent": F.coalesce(percent, F.lit(0.0))}
         if isinstance(field.dataType, T.NumericType):
-            found["min_value"] = F.min(col).cast("double")
-            found["max_value"] = F.max(col).cast("double")
-            found["avg_value"] = F.round(F.avg(col), 2)
+            value = known_number(df, field.name)
+            found["min_value"] = F.min(value).cast("double")
+            found["max_value"] = F.max(value).cast("double")
+            found["avg_value"] = F.round(F.avg(value), 2)
         if isinstance(field.dataType, T.StringType):
             found["empty_strings"] = F.count_if(col == "")
             found["blank_strings"] = F.count_if(F.trim(col) == "")
@@ -224,10 +245,14 @@ def _metrics(df: DataFrame, *names: str) -> DataFrame:
     return texts.unpivot(["column"], list(names), "metric", "value")
 
 
-def dataset_profile(df: DataFrame, counts: DataFrame | None = None) -> DataFrame:
+def dataset_profile(
+    df: DataFrame, counts: DataFrame | None = None, sample: DataFrame | None = None
+) -> DataFrame:
     """The whole profile as ``(column, metric, value)``.
 
-    Give ``counts`` from a settled ``value_counts`` to group the string values only once.
+    Column measures, all distinct values, the most frequent ones, spelling variants, outer space,
+    types and roles, the quality summary, and on demand the rows of ``sample``. Give ``counts``
+    from a settled ``value_counts`` to group the string values only once.
     """
     counts = value_counts(df) if counts is None else counts
     ranked = top_values(counts).select(
@@ -235,11 +260,39 @@ def dataset_profile(df: DataFrame, counts: DataFrame | None = None) -> DataFrame
         F.concat(F.lit("top_value_"), F.col("rank")).alias("metric"),
         F.concat_ws(" x", F.coalesce("value", F.lit("NULL")), F.col("rows")).alias("value"),
     )
-    table_wide = duplicate_rows(df).withColumn("column", F.lit("*"))
-    return (
+    summary = quality_summary(df, counts).withColumn("column", F.lit("*"))
+    names = [c for c in summary.columns if c != "column"]
+    values = counts.filter(F.col("value").isNotNull()).select(
+        "column", F.lit("distinct_value").alias("metric"), "value"
+    )
+    variants = spelling_variants(counts).select(
+        "column",
+        F.lit("spelling_variant").alias("metric"),
+        F.concat("spelling_key", F.lit(": "), "value", F.lit(" x"), F.col("rows")).alias("value"),
+    )
+    sides = F.concat_ws("+", F.when(F.col("leading"), "leading"), F.when(F.col("trailing"), "trailing"))
+    spaced = outer_space_values(counts).select(
+        "column", F.lit("outer_space").alias("metric"), F.concat(sides, F.lit(": "), "value").alias("value")
+    )
+    shown = [] if sample is None else [sample_texts(sample)]
+    united = (
         column_stats(df)
         .unionByName(_metrics(distinct_per_column(counts), "distinct_values"))
         .unionByName(ranked)
         .unionByName(_metrics(column_kinds(df), "type", "kind"))
-        .unionByName(_metrics(table_wide, "rows", "duplicate_rows"))
+        .unionByName(_metrics(summary, *names))
+        .unionByName(values)
+        .unionByName(variants)
+        .unionByName(spaced)
+    )
+    for part in shown:
+        united = united.unionByName(part)
+    return united
+
+
+def sample_texts(sample: DataFrame) -> DataFrame:
+    """Sample rows in the profile's form: the values with bars between them."""
+    texts = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("NULL")) for c in sample.columns]
+    return sample.select(
+        F.lit("*").alias("column"), F.lit("sample_row").alias("metric"), F.concat_ws("|", *texts).alias("value")
     )

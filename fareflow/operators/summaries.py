@@ -2,7 +2,9 @@
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+from fareflow.functions import known_number
 
 HISTORY_AVERAGES = ("duration_minutes", "days_left", "stops")
 
@@ -16,12 +18,13 @@ def fare_summary(
     count: str = "flight_count",
 ) -> DataFrame:
     """Row count, average, min and max price per key, and averages of further columns."""
+    value = known_number(df, price)
     return df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias(count),
-        F.round(F.avg(price), digits).alias("avg_price"),
-        F.min(price).alias("min_price"),
-        F.max(price).alias("max_price"),
-        *[F.round(F.avg(c), digits).alias(f"avg_{c}") for c in averages],
+        F.round(F.avg(value), digits).alias("avg_price"),
+        F.min(value).alias("min_price"),
+        F.max(value).alias("max_price"),
+        *[F.round(F.avg(known_number(df, c)), digits).alias(f"avg_{c}") for c in averages],
     )
 
 
@@ -34,11 +37,13 @@ def fare_partials(
     """Mergeable state of ``fare_summary``: counts, sums, min and max per key."""
     sums = []
     for c in (price, *averages):
-        sums += [F.sum(c).alias(f"sum_{c}"), F.count(c).alias(f"n_{c}")]
+        value = known_number(df, c)
+        sums += [F.sum(value).alias(f"sum_{c}"), F.count(value).alias(f"n_{c}")]
+    value = known_number(df, price)
     return df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("rows"),
-        F.min(price).alias("min_price"),
-        F.max(price).alias("max_price"),
+        F.min(value).alias("min_price"),
+        F.max(value).alias("max_price"),
         *sums,
     )
 
@@ -78,28 +83,54 @@ def finish_partials(
 
 def mean_by(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
     """Average of a column per key; over a table of averages this is the average of them."""
-    return df.groupBy(*keys).agg(F.avg(value).alias(name))
+    return df.groupBy(*keys).agg(F.avg(known_number(df, value)).alias(name))
 
 
 def current_fares(df: DataFrame, key: str = "route", price: str = "price") -> DataFrame:
     """Mean, min, max and number of known prices per key, dearest first."""
+    value = known_number(df, price)
     stats = df.groupBy(key).agg(
-        F.round(F.avg(price), 2).alias("avg_price"),
-        F.round(F.min(price), 2).alias("min_price"),
-        F.round(F.max(price), 2).alias("max_price"),
-        F.count(price).alias("observations"),
+        F.round(F.avg(value), 2).alias("avg_price"),
+        F.round(F.min(value), 2).alias("min_price"),
+        F.round(F.max(value), 2).alias("max_price"),
+        F.count(value).alias("observations"),
     )
     return stats.orderBy(F.desc_nulls_last("avg_price"), key)
 
 
 def global_stats(df: DataFrame, price: str = "price") -> DataFrame:
+    value = known_number(df, price)
     return df.agg(
-        F.avg(price).alias("avg_price"),
-        F.min(price).alias("min_price"),
-        F.max(price).alias("max_price"),
+        F.avg(value).alias("avg_price"),
+        F.min(value).alias("min_price"),
+        F.max(value).alias("max_price"),
     )
 
 
+def counts_in_one_scan(
+    df: DataFrame,
+    groups: Mapping[str, Sequence[str]],
+    filters: Mapping[str, Column],
+    values: Mapping[str, Column],
+) -> DataFrame:
+    """``(metric, value)``: rows, rows that pass each filter, groups, distinct non-null values.
+
+    One scan: rows are first reduced to the distinct combinations of all columns in question, with
+    their counts; everything else is counted over those. NULL is a value of its own in a group.
+    """
+    keys = {f"_g_{n}": F.struct(*columns) for n, columns in groups.items()}
+    keys |= {f"_v_{n}": column for n, column in values.items()}
+    keys |= {f"_f_{n}": F.coalesce(column, F.lit(False)) for n, column in filters.items()}
+    combined = df.groupBy(*[c.alias(n) for n, c in keys.items()]).agg(F.count(F.lit(1)).alias("_rows"))
+    counts = [F.sum("_rows").alias("rows")]
+    counts += [F.sum(F.when(F.col(f"_f_{n}"), F.col("_rows")).otherwise(0)).alias(n) for n in filters]
+    # A struct is never NULL, so distinct structs are the groups.
+    counts += [F.count_distinct(f"_g_{n}").alias(n) for n in groups]
+    counts += [F.count_distinct(f"_v_{n}").alias(n) for n in values]
+    one = combined.agg(*[F.coalesce(c, F.lit(0)).alias(name) for c, name in zip(counts, ["rows", *filters, *groups, *values])])
+    return one.unpivot([], one.columns, "metric", "value")
+
+
 def layer_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """One row per table with its row count."""
     counts = [
@@ -131,5 +162,21 @@ def outcome_counts(df: DataFrame, status: Column, events: Column) -> DataFrame:
 
 
 def median_price(df: DataFrame, keys: Sequence[str], price: str = "price") -> DataFrame:
-    """Exact median per key."""
-    return df.groupBy(*keys).agg(F.percentile(price, F.lit(0.5)).alias("median_price"))
+    """Exact median per key.
+
+    Prices are counted per key and value, with map-side partials; running counts over those
+    rows pick the one or two middle values, so no task holds the prices of a key.
+    """
+    value = known_number(df, price).cast("double")
+    counts = df.groupBy(*keys, value.alias("_price")).agg(F.count(value).alias("_n"))
+    group = Window.partitionBy(*keys)
+    upto = F.sum("_n").over(group.orderBy("_price").rowsBetween(Window.unboundedPreceding, 0))
+    placed = counts.withColumns({"_upto": upto, "_all": F.sum("_n").over(group)})
+    # The middle places, counted from 1, are (all + 1) / 2 rounded down and up.
+    low, high = F.floor((F.col("_all") + 1) / 2), F.ceil((F.col("_all") + 1) / 2)
+
+    def at(place: Column) -> Column:
+        inside = (F.col("_upto") >= place) & (F.col("_upto") - F.col("_n") < place)
+        return F.max(F.when(inside, F.col("_price")))
+
+    return placed.groupBy(*keys).agg(((at(low) + at(high)) / 2).alias("median_price"))

@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from fareflow import functions as X, pricing, streaming
-from fareflow.constants import CITIES, HISTORY_STOPS, LIVE_STOPS, OFFER_KEYS
+from fareflow.constants import HISTORY_STOPS, LIVE_STOPS, OFFER_KEYS
 from fareflow.operators import (
     compare,
     dedup,
@@ -21,7 +21,7 @@ from fareflow.operators import (
 )
 from fareflow.plans import gold, history, live, testbed
 from fareflow.schemas import CANONICAL, SEARCH_RESPONSE
-from fareflow.sinks import append_stream, check_table, run_to_end
+from fareflow.sinks import append_stream, append_table, check_table, run_to_end
 from fareflow.sources import (
     active_snapshot,
     decode_payload,
@@ -31,6 +31,7 @@ from fareflow.sources import (
     read_from_offsets,
     read_parts,
     spread,
+    stream_table,
     union_parts,
 )
 from fareflow.workspace import new_folder, settle
@@ -134,17 +135,16 @@ def fare_global_stats(spark, sf_dir):
 
 @query
 def pipeline_counts(spark, sf_dir):
+    # Standardising keeps every row, so the canonical rows count for the raw ones too.
     rows = canonical(spark, sf_dir)
-    layers = {
-        "bronze_rows": testbed.history_raw(spark, sf_dir),
-        "silver_rows": rows,
-        "route_rows": summaries.fare_summary(rows, history.ROUTE_KEYS),
-        "flight_rows": summaries.fare_summary(rows, history.FLIGHT_KEYS),
-        "training_rows": standardize.training_rows(rows),
-    }
-    route = X.route_key(F.col("source_city"), F.col("destination_city"))
-    distinct = {"unique_airlines": F.col("airline"), "unique_routes": route}
-    return summaries.layer_counts(layers).unionByName(summaries.distinct_counts(rows, distinct))
+    ends = ["source_city", "destination_city"]
+    counts = summaries.counts_in_one_scan(
+        rows,
+        groups={"route_rows": history.ROUTE_KEYS, "flight_rows": history.FLIGHT_KEYS},
+        filters={"bronze_rows": F.lit(True), "training_rows": F.col("price") > 0},
+        values={"unique_airlines": F.col("airline"), "unique_routes": X.route_key(*map(F.col, ends))},
+    )
+    return counts.replace("rows", "silver_rows", ["metric"])
 
 
 @query
@@ -162,7 +162,7 @@ def null_profile(spark, sf_dir):
 
 @query
 def numeric_profile(spark, sf_dir):
-    return profile.numeric_stats(text_columns(spark, sf_dir).drop("duration"))
+    return profile.numeric_stats(text_columns(spark, sf_dir))
 
 
 @query
@@ -185,11 +185,16 @@ def top_values(spark, sf_dir):
 
 @query
 def distinct_values(spark, sf_dir):
-    return profile.first_values(profile.value_counts(text_columns(spark, sf_dir)))
+    return profile.distinct_values(profile.value_counts(text_columns(spark, sf_dir)))
 
 
 @query
 def duplicate_rows(spark, sf_dir):
+    return profile.duplicate_rows(text_columns(spark, sf_dir))
+
+
+@query
+def duplicate_labels(spark, sf_dir):
     return profile.duplicate_rows(text_columns(spark, sf_dir).select("airline", "flight", "stops"))
 
 
@@ -216,8 +221,9 @@ def quality_summary(spark, sf_dir):
 
 @query
 def dataset_profile(spark, sf_dir):
-    table = text_columns(spark, sf_dir).drop("duration")
-    return profile.dataset_profile(table, settle(profile.value_counts(table), "values"))
+    table = text_columns(spark, sf_dir)
+    counts = settle(profile.value_counts(table), "values")
+    return profile.dataset_profile(table, counts, sample_rows(spark, sf_dir))
 
 
 # Live, batch form
@@ -396,6 +402,17 @@ def parts_scan(spark, sf_dir):
     return named.groupBy("n_name").agg(F.count(F.lit(1)).alias("rows"))
 
 
+@query
+def parts_scan_mixed(spark, sf_dir):
+    # Two files of one table, of which the second has a column more.
+    folder = new_folder(spark, "parts")
+    suppliers = testbed.table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    early = suppliers.filter(F.col("s_suppkey") % 2 == 0).select("s_suppkey", "s_name")
+    append_table(early, f"{folder}/early")
+    append_table(suppliers.filter(F.col("s_suppkey") % 2 == 1), f"{folder}/late")
+    return read_parts(spark, [f"{folder}/early", f"{folder}/late"])
+
+
 # Itineraries and texts
 
 
@@ -479,21 +496,21 @@ def observed_routes(spark, sf_dir):
 
 @query
 def city_pairs(spark, sf_dir):
-    cities = dedup.distinct_values(testbed.history_raw(spark, sf_dir), "source_city")
-    return lookup.city_pairs(cities, "source_city", CITIES, "destination_city")
+    return lookup.city_pairs(testbed.history_raw(spark, sf_dir), "source_city", "destination_city")
 
 
 @query
 def airport_lookup(spark, sf_dir):
     airports = testbed.airports(spark)
-    rows = testbed.history_raw(spark, sf_dir).select("source_city", "destination_city", "price")
+    rows = testbed.history_raw(spark, sf_dir).groupBy("source_city", "destination_city").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("price").alias("total_price")
+    )
     start = airports.withColumnRenamed("code", "source_code")
     end = airports.withColumnRenamed("code", "destination_code")
+    # One code per city, so the few grouped rows are looked up, not the table.
     coded = lookup.attach(rows, start, {"source_city": "city"}, strict=True)
     coded = lookup.attach(coded, end, {"destination_city": "city"}, strict=True)
-    return coded.groupBy("source_code", "destination_code").agg(
-        F.count(F.lit(1)).alias("rows"), F.sum("price").alias("total_price")
-    )
+    return coded.select("source_code", "destination_code", "rows", "total_price")
 
 
 @query
@@ -511,9 +528,7 @@ def route_requests(spark, sf_dir):
 def request_outcomes(spark, sf_dir):
     status = F.when(F.col("o_orderstatus") == "F", "failed").otherwise("successful")
     sent = F.when(F.col("o_orderstatus") == "F", 0).otherwise(F.size("option.flights"))
-    options = testbed.options(spark, sf_dir).select("o_orderkey", "option")
-    orders = testbed.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
-    return summaries.outcome_counts(options.join(orders, "o_orderkey"), status, sent)
+    return summaries.outcome_counts(testbed.options(spark, sf_dir, "o_orderstatus"), status, sent)
 
 
 # Baseline and comparison
@@ -575,15 +590,66 @@ def stream_dedup_global(spark, sf_dir):
 @query
 def stream_windows_closed(spark, sf_dir):
     folder = new_folder(spark, "windows")
-    streaming.run_windows(live.clean_live(payload_stream(spark, sf_dir)), folder)
+    streaming.run_windows(live.clean_live(payload_in_parts(spark, sf_dir)), folder)
     return plain_times(spark.read.parquet(f"{folder}/rows"))
 
 
+def streamed_gold(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A summary table after three micro-batches."""
+    folder = new_folder(spark, "gold")
+    streaming.refresh_gold_stream(live.clean_live(payload_in_parts(spark, sf_dir)), folder)
+    return gold.read_gold(spark, folder, name)
+
+
 @query
 def stream_gold_refresh(spark, sf_dir):
-    folder = new_folder(spark, "gold")
-    streaming.refresh_gold_stream(live.clean_live(payload_stream(spark, sf_dir)), folder)
-    return spark.read.parquet(f"{folder}/airline_price_analytics")
+    return streamed_gold(spark, sf_dir, "airline_price_analytics")
+
+
+@query
+def stream_gold_routes(spark, sf_dir):
+    return streamed_gold(spark, sf_dir, "route_price_analytics")
+
+
+@query
+def stream_gold_windows(spark, sf_dir):
+    return plain_times(streamed_gold(spark, sf_dir, "price_window_analytics"))
+
+
+@query
+def stream_late_rows(spark, sf_dir):
+    # A clean stream whose last batch is older than the watermark. A batch is held against the
+    # watermark that the batch before it began with, hence the one in between.
+    folder = new_folder(spark, "late")
+    rows = clean(spark, sf_dir)
+    first, last = rows.agg(F.min("event_timestamp"), F.max("event_timestamp")).first()
+    moment = F.col("event_timestamp")
+    middle, late = (F.lit(first + (last - first) * share) for share in (0.5, 0.75))
+    for part in ((moment >= middle) & (moment < late), moment >= late, moment < middle):
+        append_table(rows.filter(part).coalesce(1), f"{folder}/in")
+    source = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+    unique = streaming.drop_repeats(source, ["event_id"])
+    late = streaming.count_late_rows(
+        spark, lambda: run_to_end(append_stream(unique, f"{folder}/rows", f"{folder}/checkpoint"))
+    )
+    kept = spark.read.parquet(f"{folder}/rows")
+    return kept.agg(F.count(F.lit(1)).alias("kept_rows")).withColumn("late_rows", F.lit(late).cast("bigint"))
+
+
+@query
+def stream_clean_resumed(spark, sf_dir):
+    # Three runs over a table that grows between them; each takes only what is new.
+    folder = new_folder(spark, "resumed")
+    rows = testbed.live_payload(spark, sf_dir)
+    for part in (0, 1):
+        append_table(rows.filter(F.pmod(F.xxhash64("event_id"), F.lit(2)) == part), f"{folder}/in")
+        streaming.run_clean(stream_table(spark, f"{folder}/in", rows.schema), f"{folder}/out")
+    streaming.run_clean(stream_table(spark, f"{folder}/in", rows.schema), f"{folder}/out")
+    return plain_times(spark.read.parquet(f"{folder}/out/rows"))
+
+
+def payload_in_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return testbed.live_rows(testbed.events_in_parts(spark, sf_dir))
 
 
 def payload_stream(spark: SparkSession, sf_dir: str) -> DataFrame:

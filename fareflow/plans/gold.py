@@ -1,23 +1,26 @@
 """Live summary tables, recomputed in one go or kept up to date batch by batch.
 
 The recomputation reads the clean table once for the finest partials and derives the rest
-from them. The incremental form stores those partials per batch, so a refresh costs what
-the new batch and the partials cost, not the whole clean table.
+from them. The incremental form keeps partials per month. A batch is merged with the partials of
+the months it touches, and only those of the summary tables are written again, so a refresh
+costs what the batch and its months cost, however long the history is.
 """
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from fareflow.constants import WINDOW_SIZE_SECONDS
 from fareflow.operators.summaries import fare_partials, finish_partials, merge_partials
 from fareflow.operators.windows import slide_bucket, window_partials
-from fareflow.sinks.tables import overwrite_table
+from fareflow.sinks.tables import overwrite_partitions, overwrite_table
 from fareflow.sources.tables import query_over, read_table
+from fareflow.workspace import exists, remove
 
 ROUTE_KEYS = ("route", "travel_date", "class")
 CARRIER_KEYS = ("route", "travel_date", "airline", "airline_code", "class")
 WINDOW_KEYS = ("route", "class")
-FINEST_KEYS = (*CARRIER_KEYS, "bucket_start")
+WINDOW_COLUMNS = ("window_start", "window_end", *WINDOW_KEYS)
 
 
 def summary_sql(keys: Sequence[str], price: str = "price", count: str = "flight_count") -> str:
@@ -44,26 +47,100 @@ def finest_partials(clean: DataFrame) -> DataFrame:
 def gold_tables(partials: DataFrame) -> dict[str, DataFrame]:
     """The three summary tables from the finest partials."""
     windows = window_partials(partials, WINDOW_KEYS)
-    window_columns = ("window_start", "window_end", *WINDOW_KEYS)
     return {
         "route_price_analytics": finish_partials(merge_partials(partials, ROUTE_KEYS), ROUTE_KEYS),
         "airline_price_analytics": finish_partials(
             merge_partials(partials, CARRIER_KEYS), CARRIER_KEYS
         ),
         "price_window_analytics": finish_partials(
-            windows, window_columns, count="price_observations"
+            windows, WINDOW_COLUMNS, count="price_observations"
         ),
     }
 
 
-def store_batch_partials(batch: DataFrame, batch_id: int, folder: str) -> None:
-    """Write one batch's partials; a replayed batch replaces its own folder."""
-    overwrite_table(finest_partials(batch), f"{folder}/batch_id={batch_id}")
-
-
-def read_partials(spark: SparkSession, folder: str) -> DataFrame:
-    """All stored partials, merged to one row per finest key."""
-    return merge_partials(read_table(spark, folder).drop("batch_id"), FINEST_KEYS)
+#: Time by which each summary table is partitioned, and the span of a partition.
+TIMES = {
+    "route_price_analytics": "travel_date",
+    "airline_price_analytics": "travel_date",
+    "price_window_analytics": "window_start",
+}
+GRAIN = "month"
+
+
+def part_of(time: str | Column) -> Column:
+    return F.trunc(time, GRAIN)
+
+
+def read_gold(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    return read_table(spark, f"{folder}/{name}").drop("part")
+
+
+def read_partials(spark: SparkSession, folder: str, parts: DataFrame, before: int) -> DataFrame:
+    """All partials of the given parts that batches before ``before`` have left.
+
+    Parts and batches are partition columns, so other parts are not read.
+    """
+    stored = read_table(spark, folder).filter(F.col("upto") < before)
+    return stored.withColumn("part", F.col("part").cast("date")).join(parts, "part", "left_semi")
+
+
+def latest_generation(stored: DataFrame) -> DataFrame:
+    latest = stored.groupBy("part").agg(F.max("upto").alias("upto"))
+    return stored.join(latest, ["part", "upto"], "left_semi").drop("upto")
+
+
+def merge_into_parts(batch: DataFrame, keys: Sequence[str], folder: str, batch_id: int) -> DataFrame:
+    """Merge a batch's partials (with ``part``) into those of its parts; gives the parts.
+
+    A part's partials are written anew as generation ``batch_id``. A replayed batch starts from
+    the generation before its own again and writes the same; older ones are removed, so a part
+    has two at most.
+    """
+    spark = batch.sparkSession
+    batch = merge_partials(batch, [*keys, "part"])
+    parts = batch.select("part").distinct()
+    found: list[tuple] = []
+    if exists(spark, folder):
+        stored = read_partials(spark, folder, parts, batch_id)
+        found = [(r["part"], r["upto"]) for r in stored.select("part", "upto").distinct().collect()]
+        batch = batch.unionByName(latest_generation(stored).select(batch.columns))
+    merged = merge_partials(batch, [*keys, "part"]).withColumn("upto", F.lit(batch_id))
+    overwrite_partitions(merged, folder, ["part", "upto"])
+    latest = dict(sorted(found, key=lambda x: x[1]))
+    for part, upto in found:
+        if upto < latest[part]:
+            remove(spark, f"{folder}/part={part}/upto={upto}")
+    return parts
+
+
+def refresh_parts(batch: DataFrame, batch_id: int, folder: str) -> None:
+    """Bring the three tables up to date with one batch of unique clean rows."""
+    spark = batch.sparkSession
+    kept = finest_partials(batch).persist()
+    try:
+        by_travel = kept.withColumn("part", part_of("travel_date"))
+        parts = merge_into_parts(by_travel, CARRIER_KEYS, f"{folder}/partials/travel", batch_id)
+        partials = latest_generation(read_partials(spark, f"{folder}/partials/travel", parts, batch_id + 1))
+        carriers = partials.persist()
+        for name, keys in (("route_price_analytics", ROUTE_KEYS), ("airline_price_analytics", CARRIER_KEYS)):
+            table = finish_partials(merge_partials(carriers, keys), keys)
+            overwrite_partitions(table.withColumn("part", part_of("travel_date")), f"{folder}/{name}", ["part"])
+        carriers.unpersist()
+
+        window_keys = (*WINDOW_KEYS, "bucket_start")
+        by_time = kept.withColumn("part", part_of("bucket_start"))
+        merge_into_parts(by_time, window_keys, f"{folder}/partials/time", batch_id)
+        # The windows of a bucket may start in the part before its own, and may end in the one after.
+        early = F.col("bucket_start") - F.expr(f"interval {WINDOW_SIZE_SECONDS} seconds")
+        starts = kept.select(F.explode(F.array(part_of(early), part_of("bucket_start"))).alias("part")).distinct()
+        next_part = F.add_months("part", 1)
+        around = starts.select(F.explode(F.array("part", next_part)).alias("part")).distinct()
+        partials = latest_generation(read_partials(spark, f"{folder}/partials/time", around, batch_id + 1))
+        table = finish_partials(window_partials(partials, WINDOW_KEYS), WINDOW_COLUMNS, count="price_observations")
+        table = table.withColumn("part", part_of("window_start")).join(starts, "part", "left_semi")
+        overwrite_partitions(table, f"{folder}/price_window_analytics", ["part"])
+    finally:
+        kept.unpersist()
 
 
 def refresh_gold(clean: DataFrame, folder: str, fmt: str = "parquet") -> bool:
@@ -76,6 +153,8 @@ def refresh_gold(clean: DataFrame, folder: str, fmt: str = "parquet") -> bool:
 
 def write_gold(partials: DataFrame, folder: str, fmt: str = "parquet") -> None:
     kept = partials.persist()
-    for name, table in gold_tables(kept).items():
-        overwrite_table(table, f"{folder}/{name}", fmt)
-    kept.unpersist()
+    try:
+        for name, table in gold_tables(kept).items():
+            overwrite_table(table.withColumn("part", part_of(TIMES[name])), f"{folder}/{name}", fmt, ["part"])
+    finally:
+        kept.unpersist()

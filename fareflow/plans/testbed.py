@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from fareflow.constants import AIRPORT_CODES, CITIES
 from fareflow.functions import free_text_key
 from fareflow.schemas import STRING, struct
+from fareflow.sinks.tables import append_table
 from fareflow.sources.tables import read_table, spread
+from fareflow.workspace import new_folder
 
 RAW_CARRIERS = ("Vistara", "Air_India", "Indigo", "GO_FIRST", "AirAsia", "SpiceJet")
 DAY_PARTS = ("Early_Morning", "Morning", "Afternoon", "Evening", "Night", "Late_Night")
@@ -171,6 +173,23 @@ def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.readStream.schema(schema).parquet(f"{sf_dir}/event[s].parquet")
 
 
+def events_in_parts(spark: SparkSession, sf_dir: str, parts: int = 3) -> DataFrame:
+    """The events as a stream of ``parts`` micro-batches in time order.
+
+    The table is split at equal times and written as one file per part, one after the other.
+    """
+    events = table(spark, sf_dir, "events")
+    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    folder = new_folder(spark, "events")
+    for n in range(parts):
+        low, high = first + (last - first) / parts * n, first + (last - first) / parts * (n + 1)
+        chosen = events.filter(F.col("ts") >= F.lit(low) if n else F.lit(True))
+        if n < parts - 1:
+            chosen = chosen.filter(F.col("ts") < F.lit(high))
+        append_table(chosen.coalesce(1), folder)
+    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+
+
 def quotes_of(clean: DataFrame) -> DataFrame:
     """Clean live rows as quotes to price, key texts in the form of the baseline rows."""
     texts = {"cabin_class": "class", "airline": "airline"}
@@ -187,8 +206,8 @@ def quotes_of(clean: DataFrame) -> DataFrame:
     )
 
 
-def options(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as itinerary options of none to three legs."""
+def options(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
+    """Orders as itinerary options of none to three legs, with ``extra`` columns of the orders."""
     order, customer = F.col("o_orderkey"), F.col("o_custkey")
     count = (order % 4).cast("int")
 
@@ -223,6 +242,7 @@ def options(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(every(order, 2), "Economy").otherwise("Business").alias("class"),
         F.col("o_orderdate").cast("timestamp").alias("observed_at"),
         option.alias("option"),
+        *extra,
     )
 
 

@@ -3,6 +3,7 @@
 from fareflow.sinks.tables import (
     append_table,
     check_table,
+    overwrite_partitions,
     overwrite_table,
     replace_own_input,
     write_unless_empty,
@@ -14,6 +15,7 @@ __all__ = [
     "append_table",
     "check_table",
     "each_batch",
+    "overwrite_partitions",
     "overwrite_table",
     "replace_own_input",
     "run_to_end",

@@ -28,12 +28,17 @@ def each_batch(
 ) -> DataStreamWriter:
     """Call ``work(batch, batch_id)`` for each micro-batch that has rows.
 
-    A batch may be replayed after a failure, so ``work`` must overwrite by ``batch_id``.
+    A batch may be replayed after a failure, so ``work`` must overwrite by ``batch_id``. The
+    batch is kept while it is worked on, so its rows are computed once.
     """
 
     def skip_empty(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
-            work(batch, batch_id)
+        kept = batch.persist()
+        try:
+            if not kept.isEmpty():
+                work(kept, batch_id)
+        finally:
+            kept.unpersist()
 
     return (
         df.writeStream.foreachBatch(skip_empty)

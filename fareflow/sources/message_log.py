@@ -9,12 +9,15 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from fareflow.operators.lookup import small_side
 from fareflow.schemas import ENVELOPE, PAYLOAD
 
 
 def offsets_option(offsets: DataFrame | None) -> str:
-    """Kafka's ``startingOffsets`` text. One row per topic partition, so it fits a driver."""
+    """Kafka's ``startingOffsets`` text. One row per topic partition, so it fits a driver.
+
+    Kafka wants every partition of a topic named: add those that the topic has gained since, with
+    offset 0, to the saved ones before the read (``with_new_partitions``).
+    """
     rows = [] if offsets is None else offsets.collect()
     if not rows:
         return "earliest"
@@ -47,7 +50,7 @@ def stream_log(spark: SparkSession, fmt: str = "kafka", **options: str) -> DataF
 
 def read_from_offsets(log: DataFrame, offsets: DataFrame) -> DataFrame:
     """Rows at or past the saved next offset; partitions not saved start at 0."""
-    saved = small_side(offsets.select("topic", "partition", "next_offset"))
+    saved = offsets.select("topic", "partition", "next_offset")
     unread = F.col("offset") >= F.coalesce("next_offset", F.lit(0))
     return log.join(saved, ["topic", "partition"], "left").filter(unread).drop("next_offset")
 
@@ -74,6 +77,13 @@ def decode_payload(
     return log.select(F.inline(F.array(F.from_json(F.col(value).cast("string"), schema))))
 
 
+def with_new_partitions(offsets: DataFrame, partitions: DataFrame) -> DataFrame:
+    """Saved offsets for all present (topic, partition) rows; new partitions start at 0."""
+    present = partitions.select("topic", "partition").distinct()
+    joined = present.join(offsets.select("topic", "partition", "next_offset"), ["topic", "partition"], "left")
+    return joined.withColumn("next_offset", F.coalesce("next_offset", F.lit(0).cast("long")))
+
+
 def encode_payload(columns: Sequence[str]) -> Column:
     """The named columns as one JSON message value."""
     return F.to_json(F.struct(*columns))

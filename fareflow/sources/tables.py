@@ -22,13 +22,12 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet", **options:
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Spread a scan that would leave cores idle, such as one small file; else ``df`` as it is.
+    """Spread a table that is read by a single task, such as one small file; else ``df`` as it is.
 
-    For work that costs far more than the scan. ``keys`` should tell rows apart. A table of
-    many files has more scan tasks than cores and gets no shuffle from this.
+    For work that costs far more than the scan. ``keys`` should tell rows apart. What one task
+    reads is all that is ever shuffled; a table of two scan tasks or more gets no shuffle.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(*keys) if df.rdd.getNumPartitions() == 1 else df
 
 
 def stream_table(
@@ -51,8 +50,13 @@ def read_or_empty(
 
 
 def read_parts(spark: SparkSession, paths: Sequence[str], fmt: str = "parquet") -> DataFrame:
-    """Several files or folders of one table in a single scan."""
-    return spark.read.format(fmt).load(list(paths))
+    """Several files or folders of one table in a single scan, with the columns of all of them.
+
+    Parquet footers are merged; other formats are read one by one and united by name.
+    """
+    if fmt == "parquet":
+        return spark.read.option("mergeSchema", True).parquet(*paths)
+    return union_parts([spark.read.format(fmt).load(path) for path in paths])
 
 
 def union_parts(parts: Sequence[DataFrame]) -> DataFrame:

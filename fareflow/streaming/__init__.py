@@ -1,12 +1,13 @@
 """Structured Streaming forms of the live jobs."""
 
-from fareflow.streaming.dedup import drop_repeats, dropped_late_rows
+from fareflow.streaming.dedup import LateRows, count_late_rows, drop_repeats
 from fareflow.streaming.jobs import ingest_log, refresh_gold_stream, run_clean, run_windows
 from fareflow.streaming.windows import stream_windows
 
 __all__ = [
+    "LateRows",
+    "count_late_rows",
     "drop_repeats",
-    "dropped_late_rows",
     "ingest_log",
     "refresh_gold_stream",
     "run_clean",

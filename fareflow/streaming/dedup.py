@@ -1,9 +1,10 @@
 """Streaming duplicate removal."""
 
-from collections.abc import Sequence
+import threading
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from fareflow.constants import OFFER_KEYS, WATERMARK
 
@@ -19,17 +20,51 @@ def drop_repeats(
 
     ``bounded`` forgets a key once the watermark has passed it, so state stays small and a
     repeat that comes later than ``delay`` is let through. ``global`` remembers every key
-    for ever.
+    for ever and needs no watermark, so no row is late.
     """
-    marked = clean.withWatermark(time, delay)
     if mode == "bounded":
-        return marked.dropDuplicatesWithinWatermark(list(keys))
+        return clean.withWatermark(time, delay).dropDuplicatesWithinWatermark(list(keys))
     if mode == "global":
-        return marked.dropDuplicates(list(keys))
+        return clean.dropDuplicates(list(keys))
     raise ValueError(f"mode is bounded or global, not {mode!r}")
 
 
-def dropped_late_rows(query: StreamingQuery) -> int:
-    """Rows that stateful operators dropped for being older than the watermark."""
-    operators = [s for p in query.recentProgress for s in p["stateOperators"]]
-    return sum(s["numRowsDroppedByWatermark"] for s in operators)
+class LateRows(StreamingQueryListener):
+    """Adds up, per run, the rows that stateful operators dropped for being older than the watermark.
+
+    Every progress report is counted as it comes; a query's own list keeps only the last ones.
+    """
+
+    def __init__(self) -> None:
+        self.counts: dict[str, int] = {}
+        self.ended: dict[str, threading.Event] = {}
+
+    def end_of(self, run_id: str) -> threading.Event:
+        return self.ended.setdefault(run_id, threading.Event())
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        run_id = str(event.progress.runId)
+        late = sum(s.numRowsDroppedByWatermark for s in event.progress.stateOperators)
+        self.counts[run_id] = self.counts.get(run_id, 0) + late
+
+    def onQueryTerminated(self, event) -> None:
+        self.end_of(str(event.runId)).set()
+
+
+def count_late_rows(spark: SparkSession, run: Callable[[], StreamingQuery], wait: float = 60.0) -> int:
+    """Run a stream to its end and count the rows it dropped as late, over all its batches."""
+    listener = LateRows()
+    spark.streams.addListener(listener)
+    try:
+        run_id = str(run().runId)
+        if not listener.end_of(run_id).wait(wait):
+            raise TimeoutError("the end of the stream was not reported")
+        return listener.counts.get(run_id, 0)
+    finally:
+        spark.streams.removeListener(listener)

@@ -3,14 +3,17 @@
 ``folder`` holds the job's output and checkpoint and must be one all executors reach.
 """
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from fareflow.plans.gold import read_partials, store_batch_partials, write_gold
+from fareflow.plans.gold import refresh_parts
 from fareflow.plans.live import clean_live
 from fareflow.sinks.streams import append_stream, each_batch, run_to_end
 from fareflow.sinks.tables import overwrite_table
 from fareflow.sources.message_log import decode_payload
+from fareflow.streaming.dedup import drop_repeats
 from fareflow.streaming.windows import stream_windows
 
 
@@ -29,17 +32,23 @@ def run_clean(payload: DataFrame, folder: str) -> StreamingQuery:
     return run_to_end(writer)
 
 
-def run_windows(clean: DataFrame, folder: str) -> StreamingQuery:
-    """Clean stream to the table of closed windows."""
-    writer = append_stream(stream_windows(clean), f"{folder}/rows", f"{folder}/checkpoint")
+def run_windows(clean: DataFrame, folder: str, keys: Sequence[str] = ("event_id",)) -> StreamingQuery:
+    """Clean stream, each event once, to the table of closed windows."""
+    unique = drop_repeats(clean, keys)
+    writer = append_stream(stream_windows(unique, delay=None), f"{folder}/rows", f"{folder}/checkpoint")
     return run_to_end(writer)
 
 
-def refresh_gold_stream(clean: DataFrame, folder: str, fmt: str = "parquet") -> StreamingQuery:
-    """Keep the summary tables up to date: each batch adds its partials, then all are merged."""
+def refresh_gold_stream(
+    clean: DataFrame, folder: str, keys: Sequence[str] = ("event_id",), mode: str = "bounded"
+) -> StreamingQuery:
+    """Keep the summary tables up to date, each event counted once.
+
+    A batch is merged with the partials of the months it touches; only those are written again.
+    """
 
     def refresh(batch: DataFrame, batch_id: int) -> None:
-        store_batch_partials(batch, batch_id, f"{folder}/partials")
-        write_gold(read_partials(batch.sparkSession, f"{folder}/partials"), folder, fmt)
+        refresh_parts(batch, batch_id, folder)
 
-    return run_to_end(each_batch(clean, refresh, f"{folder}/checkpoint"))
+    unique = drop_repeats(clean, keys, mode=mode)
+    return run_to_end(each_batch(unique, refresh, f"{folder}/checkpoint"))

@@ -14,11 +14,16 @@ def stream_windows(
     price: str = "price",
     size: int = WINDOW_SIZE_SECONDS,
     slide: int = WINDOW_SLIDE_SECONDS,
-    delay: str = WATERMARK,
+    delay: str | None = WATERMARK,
 ) -> DataFrame:
-    """Same columns as the batch summary; in append mode a window comes out once closed."""
+    """Same columns as the batch summary; in append mode a window comes out once closed.
+
+    Without a ``delay`` the watermark that ``clean`` already has is used.
+    """
+    if delay is not None:
+        clean = clean.withWatermark(time, delay)
     span = F.window(time, f"{size} seconds", f"{slide} seconds").alias("span")
-    grouped = clean.withWatermark(time, delay).groupBy(span, *keys)
+    grouped = clean.groupBy(span, *keys)
     stats = grouped.agg(
         F.min(price).alias("min_price"),
         F.max(price).alias("max_price"),

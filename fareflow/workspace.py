@@ -3,6 +3,8 @@
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 from pathlib import Path
 
@@ -25,9 +27,57 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folder()
 
 
+_open: list[list[str]] = []
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
     """A path under the shared folder that no other run uses."""
-    return f"{shared_folder(spark)}/fareflow/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/fareflow/{label}-{uuid.uuid4().hex}"
+    for folders in _open[-1:]:
+        folders.append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove the folders made inside, once the block has written its answer elsewhere."""
+    folders: list[str] = []
+    _open.append(folders)
+    try:
+        yield
+    finally:
+        _open.remove(folders)
+        for path in folders:
+            remove(spark, path)
+
+
+def _files(spark: SparkSession, path: str):
+    """The path and its file system, as the session's configuration gives it."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop, hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    hadoop, files = _files(spark, path)
+    return files.exists(hadoop)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    hadoop, files = _files(spark, path)
+    files.delete(hadoop, True)
+
+
+def swap(spark: SparkSession, new: str, path: str) -> None:
+    """Put the folder ``new`` in the place of ``path``; the old one goes when the new one is there."""
+    target, files = _files(spark, path)
+    source, _ = _files(spark, new)
+    old, _ = _files(spark, f"{new}-old")
+    if files.exists(target) and not files.rename(target, old):
+        raise OSError(f"cannot move {path} aside")
+    if not files.rename(source, target):
+        files.rename(old, target)
+        raise OSError(f"cannot move {new} to {path}")
+    files.delete(old, True)
 
 
 def settle(df: DataFrame, label: str) -> DataFrame:

@@ -209,7 +209,7 @@ history(
 # Quality
 
 TEXTS = ("airline", "flight", "source_city", "stops", "class")
-TYPES = {**dict.fromkeys(TEXTS, "string"), "days_left": "int", "price": "int"}
+TYPES = {**dict.fromkeys(TEXTS, "string"), "duration": "double", "days_left": "int", "price": "int"}
 
 
 def each(columns, row: str, table: str = "raw") -> str:
@@ -241,47 +241,35 @@ TOP = """SELECT "column", value, rows, CAST(row_number() OVER (PARTITION BY "col
   ORDER BY rows DESC, value NULLS FIRST) AS INTEGER) AS rank FROM counts QUALIFY rank <= 5"""
 
 ORACLE_SQL["null_profile"] = with_(RAW, select=each((*TEXTS, "duration", "days_left", "price"), NULLS))
-ORACLE_SQL["numeric_profile"] = with_(RAW, select=each(("days_left", "price"), STATS))
+ORACLE_SQL["numeric_profile"] = with_(RAW, select=each(("duration", "days_left", "price"), STATS))
 ORACLE_SQL["distinct_profile"] = with_(
     RAW, COUNTS, select='SELECT "column", count(value) AS distinct_values FROM counts GROUP BY ALL'
 )
 ORACLE_SQL["top_values"] = with_(RAW, COUNTS, select=TOP)
 ORACLE_SQL["distinct_values"] = with_(
-    RAW,
-    COUNTS,
-    select="""SELECT "column", value, CAST(row_number() OVER (PARTITION BY "column" ORDER BY value)
-      AS INTEGER) AS rank FROM counts WHERE value IS NOT NULL QUALIFY rank <= 50""",
-)
-ORACLE_SQL["duplicate_rows"] = with_(
-    RAW,
-    select="""SELECT CAST(sum(n) AS BIGINT) AS rows, CAST(sum(n - 1) AS BIGINT) AS duplicate_rows
-      FROM (SELECT count(*) AS n FROM raw GROUP BY airline, flight, stops)""",
-)
-ORACLE_SQL["case_variants"] = with_(
-    RAW,
-    COUNTS,
-    select="""SELECT "column", lower(trim(value)) AS spelling_key, value, rows FROM counts
-      WHERE value IS NOT NULL
-      QUALIFY count(*) OVER (PARTITION BY "column", lower(trim(value))) > 1""",
-)
-ORACLE_SQL["whitespace_issues"] = with_(
-    RAW,
-    COUNTS,
-    select="""SELECT "column", value, value <> ltrim(value) AS leading,
-      value <> rtrim(value) AS trailing FROM counts WHERE value <> trim(value)""",
+    RAW, COUNTS, select='SELECT "column", value FROM counts WHERE value IS NOT NULL'
 )
 WHOLE = "airline, flight, source_city, stops, class, duration, days_left, price"
-ORACLE_SQL["quality_summary"] = with_(
-    RAW,
-    COUNTS,
-    select=f"""SELECT (SELECT count(*) FROM raw) AS rows, CAST(8 AS INTEGER) AS columns,
+for key, columns in (("duplicate_rows", WHOLE), ("duplicate_labels", "airline, flight, stops")):
+    ORACLE_SQL[key] = with_(
+        RAW,
+        select=f"""SELECT CAST(sum(n) AS BIGINT) AS rows, CAST(sum(n - 1) AS BIGINT) AS duplicate_rows
+          FROM (SELECT count(*) AS n FROM raw GROUP BY {columns})""",
+    )
+VARIANTS = """SELECT "column", lower(trim(value)) AS spelling_key, value, rows FROM counts
+  WHERE value IS NOT NULL QUALIFY count(*) OVER (PARTITION BY "column", lower(trim(value))) > 1"""
+SPACES = """SELECT "column", value, value <> ltrim(value) AS leading,
+  value <> rtrim(value) AS trailing FROM counts WHERE value <> trim(value)"""
+ORACLE_SQL["case_variants"] = with_(RAW, COUNTS, select=VARIANTS)
+ORACLE_SQL["whitespace_issues"] = with_(RAW, COUNTS, select=SPACES)
+QUALITY = f"""SELECT (SELECT count(*) FROM raw) AS rows, CAST(8 AS INTEGER) AS columns,
       (SELECT count(*) FROM raw) - (SELECT count(*) FROM (SELECT DISTINCT {WHOLE} FROM raw))
         AS duplicate_rows,
       (SELECT count(*) FROM ({each((*TEXTS, "duration", "days_left", "price"), NULLS)})
         WHERE null_count > 0) AS columns_with_missing_values,
       (SELECT count(*) FROM (SELECT "column" FROM counts GROUP BY ALL
-        HAVING count(value) > 100)) AS high_cardinality_columns""",
-)
+        HAVING count(value) > 100)) AS high_cardinality_columns"""
+ORACLE_SQL["quality_summary"] = with_(RAW, COUNTS, select=QUALITY)
 
 
 def as_metrics(source: str, *names: str) -> str:
@@ -293,24 +281,26 @@ def as_metrics(source: str, *names: str) -> str:
 
 KINDS = " UNION ALL ".join(
     f"SELECT '{c}' AS \"column\", '{t}' AS type, "
-    + ("'Target Variable'" if c == "price" else "'Categorical'" if t == "string" else "'Numeric'")
+    + (
+        "'Target Variable'" if c == "price"
+        else "'Duration Feature'" if c == "duration"
+        else "'Categorical'" if t == "string" else "'Numeric'"
+    )
     + " AS kind"
     for c, t in TYPES.items()
 )
-ORACLE_SQL["sample_rows"] = with_(
-    RAW,
-    select="""SELECT l_orderkey AS order_no, l_linenumber AS line_no, l_partkey AS part_no,
+SAMPLE_COLUMNS = ("order_no", "line_no", "part_no", "supplier_no", "price", "airline", "stops")
+SAMPLE = """SELECT l_orderkey AS order_no, l_linenumber AS line_no, l_partkey AS part_no,
       l_suppkey AS supplier_no, price, airline, stops FROM raw
-      ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, price NULLS FIRST LIMIT 5""",
-)
-NARROW = "airline, flight, source_city, stops, class, days_left, price"
+      ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, price NULLS FIRST LIMIT 5"""
+ORACLE_SQL["sample_rows"] = with_(RAW, select=SAMPLE)
 ORACLE_SQL["dataset_profile"] = with_(
     RAW,
     COUNTS,
     select=" UNION ALL ".join(
         [
             as_metrics(each(TYPES, NULLS), "null_count", "null_percent"),
-            as_metrics(each(("days_left", "price"), STATS), "min_value", "max_value", "avg_value"),
+            as_metrics(each(("duration", "days_left", "price"), STATS), "min_value", "max_value", "avg_value"),
             as_metrics(each(TEXTS, BLANKS), "empty_strings", "blank_strings"),
             as_metrics(
                 'SELECT "column", count(value) AS distinct_values FROM counts GROUP BY ALL',
@@ -320,12 +310,21 @@ ORACLE_SQL["dataset_profile"] = with_(
             "coalesce(value, 'NULL') || ' x' || CAST(rows AS VARCHAR) FROM (" + TOP + ")",
             as_metrics(KINDS, "type", "kind"),
             as_metrics(
-                f"""SELECT '*' AS "column", CAST(sum(n) AS BIGINT) AS rows,
-                  CAST(sum(n - 1) AS BIGINT) AS duplicate_rows
-                  FROM (SELECT count(*) AS n FROM raw GROUP BY {NARROW})""",
+                "SELECT '*' AS \"column\", * FROM (" + QUALITY + ")",
                 "rows",
+                "columns",
                 "duplicate_rows",
+                "columns_with_missing_values",
+                "high_cardinality_columns",
             ),
+            "SELECT \"column\", 'distinct_value', value FROM counts WHERE value IS NOT NULL",
+            "SELECT \"column\", 'spelling_variant', spelling_key || ': ' || value || ' x' || CAST(rows AS VARCHAR) "
+            "FROM (" + VARIANTS + ")",
+            "SELECT \"column\", 'outer_space', concat_ws('+', CASE WHEN \"leading\" THEN 'leading' END, "
+            "CASE WHEN \"trailing\" THEN 'trailing' END) || ': ' || value FROM (" + SPACES + ")",
+            "SELECT '*', 'sample_row', concat_ws('|', "
+            + ", ".join(f"coalesce(CAST({c} AS VARCHAR), 'NULL')" for c in SAMPLE_COLUMNS)
+            + ") FROM (" + SAMPLE + ")",
         ]
     ),
 )
@@ -418,10 +417,24 @@ from_live(
 from_live("median_by_route", "SELECT route, median(price) AS median_price FROM uniq GROUP BY ALL")
 ORACLE_SQL["stream_windows_closed"] = with_(
     *LIVE,
-    select=f"""SELECT * FROM ({sliding('clean')})
+    UNIQ,
+    select=f"""SELECT * FROM ({sliding('uniq')})
       WHERE window_end <= (SELECT max(event_timestamp) FROM clean) - INTERVAL 1 HOUR""",
 )
-ORACLE_SQL["stream_gold_refresh"] = with_(*LIVE, select=CARRIERS.replace("FROM uniq", "FROM clean"))
+from_live("stream_gold_refresh", CARRIERS)
+from_live("stream_gold_routes", ROUTES)
+from_live("stream_gold_windows", sliding("uniq"))
+ORACLE_SQL["stream_clean_resumed"] = ORACLE_SQL["live_clean"]
+ORACLE_SQL["stream_late_rows"] = with_(
+    *LIVE,
+    """ends AS (SELECT min(event_timestamp) AS first, max(event_timestamp) AS last FROM clean),
+mark AS (SELECT max(event_timestamp) - INTERVAL 1 HOUR AS mark FROM clean, ends
+  WHERE event_timestamp < first + (last - first) * 3 / 4),
+late AS (SELECT event_id, event_timestamp < first + (last - first) / 2
+    AND event_timestamp <= mark AS is_late FROM clean, ends, mark)""",
+    select="""SELECT count(DISTINCT event_id) FILTER (NOT is_late) AS kept_rows,
+      count(*) FILTER (is_late) AS late_rows FROM late""",
+)
 
 # Message log
 
@@ -449,6 +462,9 @@ ORACLE_SQL["parts_union"] = """SELECT c_custkey AS key, c_name AS name, c_mktseg
 ORACLE_SQL["parts_scan"] = """SELECT n_name, 2 * count(*) AS rows FROM supplier
   JOIN nation ON s_nationkey = n_nationkey GROUP BY ALL"""
 
+ORACLE_SQL["parts_scan_mixed"] = """SELECT s_suppkey, s_name,
+    CASE WHEN s_suppkey % 2 = 1 THEN s_nationkey END AS s_nationkey FROM supplier"""
+
 # Itineraries and texts
 
 ORACLE_SQL["itinerary_flatten"] = f"""
@@ -547,8 +563,8 @@ ORACLE_SQL["observed_routes"] = with_(RAW, select=PAIRS)
 ORACLE_SQL["city_pairs"] = with_(
     RAW,
     AIRPORT,
-    select="""SELECT DISTINCT source_city, city AS destination_city
-      FROM raw JOIN airport ON city <> source_city""",
+    select="""SELECT DISTINCT r.source_city, c.source_city AS destination_city
+      FROM raw r JOIN (SELECT DISTINCT source_city FROM raw) c ON c.source_city <> r.source_city""",
 )
 ORACLE_SQL["airport_lookup"] = with_(
     RAW,

@@ -35,9 +35,9 @@ def test_stops_rules_differ_on_unmatched(spark, labels, unmatched, fold, expecte
     assert values(spark, lambda c: stops_count(c, labels, unmatched, fold), inputs) == expected
 
 
-def test_recode_needs_a_table_beyond_its_limit(spark):
-    with pytest.raises(ValueError):
-        X.recode(F.col("v"), {str(n): n for n in range(101)}, F.lit(None))
+def test_recode_takes_a_mapping_of_any_size(spark):
+    mapping = {str(n): n for n in range(1000)}
+    assert values(spark, lambda c: X.recode(c, mapping, F.lit(-1)), ["0", " 999", "x"]) == [0, 999, -1]
     assert values(spark, lambda c: X.recode(c, {}, c), ["a"]) == ["a"]
 
 

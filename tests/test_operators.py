@@ -122,10 +122,56 @@ def test_attach_is_strict_on_request(spark):
         lookup.attach(df, dim, {"source_city": "city"}, strict=True).collect()
 
 
-def test_a_dimension_beyond_the_limit_is_not_broadcast(spark):
-    dim = spark.range(10)
-    assert "ResolvedHint" in lookup.small_side(dim, 10)._jdf.queryExecution().analyzed().toString()
-    assert lookup.small_side(dim, 9) is dim
+def test_attach_leaves_the_join_to_spark(spark):
+    dim = spark.range(10).selectExpr("id AS k", "id AS v")
+    joined = lookup.attach(spark.range(3).selectExpr("id AS key"), dim, {"key": "k"})
+    assert "ResolvedHint" not in joined._jdf.queryExecution().analyzed().toString()
+    assert joined.count() == 3
+
+
+def test_city_pairs_take_both_ends_from_the_rows(spark):
+    df = spark.createDataFrame([("a",), ("b",), ("b",), ("c",), (None,)], "s string")
+    pairs = rows_of(lookup.city_pairs(df, "s", "d"), "s", "d")
+    assert pairs == [(x, y) for x in "abc" for y in "abc" if x != y]
+
+
+def test_nan_is_a_missing_number(spark):
+    df = spark.createDataFrame([("k", 1.0), ("k", float("nan")), ("k", 3.0), ("k", None)], "k string, price double")
+    assert rows_of(profile.numeric_stats(df)) == [("price", 1.0, 3.0, 2.0)]
+    assert rows_of(summaries.fare_summary(df, ["k"], averages=["price"])) == [("k", 4, 2.0, 1.0, 3.0, 2.0)]
+    merged = summaries.finish_partials(summaries.fare_partials(df, ["k"]), ["k"])
+    assert rows_of(merged) == [("k", 4, 2.0, 1.0, 3.0)]
+    assert rows_of(summaries.mean_by(df, ["k"], "price", "m")) == [("k", 2.0)]
+    assert rows_of(summaries.current_fares(df, "k")) == [("k", 2.0, 1.0, 3.0, 2)]
+    assert rows_of(summaries.global_stats(df)) == [(2.0, 1.0, 3.0)]
+    assert rows_of(summaries.median_price(df, ["k"])) == [("k", 2.0)]
+
+
+def test_median_of_even_odd_and_no_prices(spark):
+    prices = {"odd": [5.0, 1.0, 5.0], "even": [4.0, 1.0, 2.0, 9.0], "one": [7.0], "none": [None], "same": [2.0] * 6}
+    df = spark.createDataFrame([(k, v) for k, values in prices.items() for v in values], "k string, price double")
+    got = dict(rows_of(summaries.median_price(df, ["k"])))
+    assert got == {"odd": 5.0, "even": 3.0, "one": 7.0, "none": None, "same": 2.0}
+
+
+def test_counts_in_one_scan(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 2), ("b", None), (None, None)], "k string, v int")
+    counts = summaries.counts_in_one_scan(df, {"pairs": ["k", "v"], "keys": ["k"]}, {"known": F.col("v") > 1}, {"k": F.col("k")})
+    assert dict(rows_of(counts)) == {"rows": 4, "known": 1, "pairs": 4, "keys": 3, "k": 2}
+    assert dict(rows_of(summaries.counts_in_one_scan(df.limit(0), {}, {}, {"k": F.col("k")}))) == {"rows": 0, "k": 0}
+
+
+def test_duplicates_tell_null_positions_apart(spark):
+    df = spark.createDataFrame([(None, "a"), ("a", None), ("a", None), ("", "a"), (None, None)], "x string, y string")
+    assert rows_of(profile.duplicate_rows(df)) == [(5, 1)]
+    assert rows_of(profile.quality_summary(df)) == [(5, 2, 1, 2, 0)]
+
+
+def test_all_distinct_values_are_listed(spark):
+    df = spark.createDataFrame([(f"{n:04d}",) for n in range(300)], "v string")
+    counts = profile.value_counts(df)
+    assert rows_of(profile.distinct_values(counts)) == [("v", f"{n:04d}") for n in range(300)]
+    assert rows_of(profile.distinct_values(counts, 3)) == [("v", f"{n:04d}") for n in range(3)]
 
 
 def test_active_snapshot_takes_the_last_action(spark):
@@ -284,6 +330,14 @@ def test_choose_prediction_says_which(spark):
     assert rows_of(compare.choose_prediction(df), "q") == [(1, 5.0, "model"), (2, 6.0, "baseline"), (3, None, None)]
 
 
+def test_a_prediction_that_is_no_number_gives_way_to_the_baseline(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([(1, nan, 100.0, 90.0), (2, nan, nan, 90.0)], "q int, prediction double, baseline_price double, live_price double")
+    chosen = compare.choose_prediction(df)
+    assert rows_of(chosen.select("q", "predicted_price", "prediction_mode"), "q") == [(1, 100.0, "baseline"), (2, None, None)]
+    assert rows_of(compare.compare_prices(chosen).select("q", "difference")) == [(1, -10.0)]
+
+
 # Price baseline
 
 

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fareflow.llm.texts import pieces
+from fareflow.workspace import settle
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 VOCABULARY_BYTES = 32 << 20
@@ -84,7 +85,8 @@ def suffix_sums(counts: DataFrame, block: int = BLOCK) -> DataFrame:
     are no longer, which answers quantiles.
     """
     tokens = F.col("length") * F.col("docs")
-    rows = counts.withColumn("tokens", tokens).withColumn("block", F.floor(F.col("length") / block))
+    # Read twice below: the texts must not be encoded twice.
+    rows = settle(counts, "lengths").withColumn("tokens", tokens).withColumn("block", F.floor(F.col("length") / block))
     blocks = rows.groupBy("block").agg(F.sum("docs").alias("d"), F.sum("tokens").alias("t"))
     above = Window.orderBy(F.desc("block")).rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.orderBy(F.desc("block")).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)

@@ -1,7 +1,9 @@
 """Every operator as a named query over the given tables: ``(spark, sf_dir) -> DataFrame``."""
 
 from collections.abc import Callable
+from functools import cache
 
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from fareflow import functions as X, pricing, streaming
@@ -21,16 +23,28 @@ from fareflow.operators import (
 )
 from fareflow.plans import gold, history, live, testbed
 from fareflow.schemas import CANONICAL, SEARCH_RESPONSE
-from fareflow.sinks import append_stream, append_table, check_table, run_to_end
+from fareflow.sinks import (
+    append_stream,
+    append_table,
+    check_table,
+    overwrite_table,
+    replace_own_input,
+    run_to_end,
+    write_unless_empty,
+)
 from fareflow.sources import (
     active_snapshot,
     decode_payload,
     encode_payload,
     merge_offsets,
     next_offsets,
+    read_delimited,
     read_from_offsets,
+    read_or_empty,
     read_parts,
+    read_table,
     spread,
+    stream_log,
     stream_table,
     union_parts,
 )
@@ -73,10 +87,12 @@ def text_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def baseline_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+def baseline_prices(spark: SparkSession, sf_dir: str, rows: DataFrame | None = None) -> DataFrame:
+    """Baseline of the unique live rows, or of ``rows`` among them."""
+    rows = unique_live(spark, sf_dir) if rows is None else rows
     line = spread(testbed.table(spark, sf_dir, "lineitem"), "l_orderkey", "l_partkey")
     past = standardize.baseline_rows(testbed.shape_history(line), keep=testbed.ROW_ORDER[:-1])
-    quotes = settle(testbed.quotes_of(unique_live(spark, sf_dir)), "quotes")
+    quotes = settle(testbed.quotes_of(rows), "quotes")
     return nearest.nearest_median(quotes, past, testbed.ROW_ORDER)
 
 
@@ -677,17 +693,47 @@ def model_metrics(spark, sf_dir):
 
 
 @query
-def model_leaderboard(spark, sf_dir):
+def label_index(spark, sf_dir):
+    return pricing.label_index(standardize.training_rows(canonical(spark, sf_dir)))
+
+
+@query
+def split_counts(spark, sf_dir):
+    train, test = pricing.split_rows(standardize.training_rows(canonical(spark, sf_dir)))
+    return summaries.layer_counts({"train": train, "test": test})
+
+
+@query
+def linear_one_feature(spark, sf_dir):
+    rows = standardize.training_rows(canonical(spark, sf_dir)).dropna(subset=["price", "days_left"])
+    vectors = VectorAssembler(inputCols=["days_left"], outputCol="features").transform(rows)
+    fitted = pricing.price_regressors()["LinearRegression"].fit(vectors.select("features", "price"))
+    line = [(round(float(fitted.coefficients[0]), 4), round(float(fitted.intercept), 4))]
+    return spark.createDataFrame(line, "slope double, intercept double")
+
+
+@cache
+def stored_best(application: str, sf_dir: str) -> tuple[str, list[tuple]]:
+    """Folder of the best model and the leaderboard, trained once per application and data."""
+    spark = SparkSession.active()
     rows = standardize.training_rows(canonical(spark, sf_dir))
-    return pricing.fit_models(rows, pricing.price_regressors(trees=20, rounds=5))[1]
+    models, board = pricing.fit_models(rows)
+    folder = new_folder(spark, "model")
+    pricing.save_model(pricing.best_model(models, board)[1], folder)
+    return folder, [tuple(r) for r in board.collect()]
+
+
+@query
+def model_leaderboard(spark, sf_dir):
+    board = stored_best(spark.sparkContext.applicationId, sf_dir)[1]
+    return spark.createDataFrame(board, "rank int, model string, rmse double, mae double, r2 double")
 
 
 @query
 def model_scores(spark, sf_dir):
-    rows = standardize.training_rows(canonical(spark, sf_dir))
-    regressors = {"LinearRegression": pricing.price_regressors()["LinearRegression"]}
-    model = pricing.fit_models(rows, regressors)[0]["LinearRegression"]
-    quotes = unique_live(spark, sf_dir).select(
+    model = pricing.load_model(stored_best(spark.sparkContext.applicationId, sf_dir)[0])
+    rows = unique_live(spark, sf_dir)
+    quotes = rows.select(
         "event_id",
         standardize.carrier_name(F.col("airline")).alias("airline"),
         "source_city",
@@ -700,8 +746,82 @@ def model_scores(spark, sf_dir):
         "days_left",
         F.col("price").alias("live_price"),
     )
-    priced = baseline_prices(spark, sf_dir).select("event_id", "baseline_price")
-    scored = pricing.score(model, quotes).join(priced, "event_id", "left")
-    return compare.compare_prices(compare.choose_prediction(scored)).select(
+    scored = settle(pricing.score(model, quotes), "scored")
+    # The baseline is worked out only for quotes that the model has no price for.
+    missing = scored.filter(X.nan_to_null(F.col("prediction")).isNull()).select("event_id")
+    if missing.isEmpty():
+        priced = scored.withColumn("baseline_price", F.lit(None).cast("double"))
+    else:
+        left = baseline_prices(spark, sf_dir, rows.join(missing, "event_id", "left_semi"))
+        priced = scored.join(left.select("event_id", "baseline_price"), "event_id", "left")
+    return compare.compare_prices(compare.choose_prediction(priced)).select(
         "event_id", "live_price", "predicted_price", "prediction_mode", "difference", "signal"
     )
+
+
+# Stored tables
+
+
+@query
+def delimited_round_trip(spark, sf_dir):
+    folder = new_folder(spark, "delimited")
+    suppliers = testbed.table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    append_table(suppliers, folder, "csv", header="true")
+    return read_delimited(spark, folder, suppliers.schema)
+
+
+@query
+def overwrite_then_append(spark, sf_dir):
+    # Written whole, replaced by half of itself, and the other half appended with another name.
+    folder = new_folder(spark, "table")
+    suppliers = testbed.table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
+    even = F.col("s_suppkey") % 2 == 0
+    overwrite_table(suppliers, folder)
+    replace_own_input(read_table(spark, folder).filter(even), folder)
+    append_table(suppliers.filter(~even).withColumn("s_name", F.upper("s_name")), folder)
+    return read_table(spark, folder)
+
+
+@query
+def guarded_writes(spark, sf_dir):
+    # One table without rows and one with; only the second is written, the first reads as empty.
+    folder = new_folder(spark, "guarded")
+    suppliers = testbed.table(spark, sf_dir, "supplier").select("s_suppkey")
+    written = {
+        "none": write_unless_empty(suppliers.filter("s_suppkey < 0"), f"{folder}/none"),
+        "all": write_unless_empty(suppliers, f"{folder}/all"),
+    }
+    counts = [
+        read_or_empty(spark, f"{folder}/{name}", suppliers.schema).agg(F.count(F.lit(1)).alias("rows")).select(
+            F.lit(name).alias("table"), F.lit(done).alias("written"), "rows"
+        )
+        for name, done in written.items()
+    ]
+    return union_parts(counts)
+
+
+@query
+def log_tail(spark, sf_dir):
+    # The message log stored as a table and tailed as a stream.
+    folder = new_folder(spark, "log")
+    log = testbed.live_log(testbed.table(spark, sf_dir, "events"))
+    append_table(log, f"{folder}/log")
+    tail = stream_log(spark, "parquet", path=f"{folder}/log").select("topic", "partition", "offset")
+    run_to_end(append_stream(tail, f"{folder}/rows", f"{folder}/checkpoint"))
+    return read_table(spark, f"{folder}/rows")
+
+
+@query
+def airport_rows(spark, sf_dir):
+    # Dimension rows from memory, met by the first present of several column names.
+    rows = testbed.history_raw(spark, sf_dir).withColumn("_c0", F.lit(0)).withColumnRenamed("source_city", "City")
+    city = standardize.first_present(rows, ["city", "CITY", "City"])
+    named = lookup.attach(rows.drop("_c0"), testbed.airports(spark).withColumnRenamed("city", "served"), {city: "served"})
+    return named.groupBy("code").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query
+def column_presence(spark, sf_dir):
+    tables = {"raw": testbed.history_raw(spark, sf_dir), "canonical": canonical(spark, sf_dir)}
+    presence = profile.compare_columns(tables)
+    return presence.groupBy("dataset").agg(F.count_if("present").alias("columns"))

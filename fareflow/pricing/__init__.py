@@ -1,7 +1,8 @@
 """Price models on Spark ML."""
 
-from fareflow.pricing.features import feature_stages, split_rows
+from fareflow.pricing.features import feature_stages, label_index, split_rows
 from fareflow.pricing.models import (
+    best_model,
     fit_models,
     leaderboard,
     load_model,
@@ -12,8 +13,10 @@ from fareflow.pricing.models import (
 )
 
 __all__ = [
+    "best_model",
     "feature_stages",
     "fit_models",
+    "label_index",
     "leaderboard",
     "load_model",
     "price_regressors",

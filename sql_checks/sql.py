@@ -670,3 +670,50 @@ history(
         "sum(e * e)", "sum(CAST(e AS HUGEINT) * e)"
     ),
 )
+
+CATEGORICAL = ("airline", "source_city", "destination_city", "departure_time", "arrival_time", "cabin_class")
+KNOWN = " AND ".join(f"{c} IS NOT NULL" for c in CATEGORICAL)
+history(
+    "label_index",
+    " UNION ALL ".join(
+        f"""SELECT '{c}' AS feature, {c} AS label,
+          CAST(row_number() OVER (ORDER BY count(*) DESC, {c}) - 1 AS INTEGER) AS number
+          FROM silver WHERE price > 0 AND {KNOWN} GROUP BY {c}"""
+        for c in CATEGORICAL
+    ),
+)
+TRAINING = (
+    "airline", "flight_code", "source_city", "destination_city", "departure_time", "arrival_time",
+    "duration_minutes", "stops", "days_left", "cabin_class", "price",
+)
+PLACE = (
+    "CAST('0x' || substr(sha256(concat_ws('|', "
+    + ", ".join(f"coalesce(CAST({c} AS VARCHAR), '\\N')" for c in TRAINING)
+    + ")), 1, 8) AS BIGINT) % 100"
+)
+history(
+    "split_counts",
+    f"""SELECT 'train' AS metric, count(*) FILTER ({PLACE} < 80) AS value FROM silver WHERE price > 0
+        UNION ALL SELECT 'test', count(*) FILTER ({PLACE} >= 80) FROM silver WHERE price > 0""",
+)
+history(
+    "linear_one_feature",
+    """SELECT round(regr_slope(price, days_left), 4) AS slope,
+       round(regr_intercept(price, days_left), 4) AS intercept FROM silver WHERE price > 0""",
+)
+
+# Stored tables
+
+ORACLE_SQL["delimited_round_trip"] = "SELECT s_suppkey, s_name, s_nationkey FROM supplier"
+ORACLE_SQL["overwrite_then_append"] = """SELECT s_suppkey,
+  CASE WHEN s_suppkey % 2 = 0 THEN s_name ELSE upper(s_name) END AS s_name FROM supplier"""
+ORACLE_SQL["guarded_writes"] = """SELECT 'none' AS "table", false AS written, CAST(0 AS BIGINT) AS rows
+  UNION ALL SELECT 'all', true, count(*) FROM supplier"""
+ORACLE_SQL["log_tail"] = with_(SENT, LOG, select='SELECT topic, partition, "offset" FROM log')
+ORACLE_SQL["airport_rows"] = with_(
+    RAW,
+    AIRPORT,
+    select="SELECT code, count(*) AS rows FROM raw JOIN airport ON city = source_city GROUP BY code",
+)
+ORACLE_SQL["column_presence"] = """SELECT 'raw' AS dataset, CAST(15 AS BIGINT) AS columns
+  FROM (SELECT count(*) FROM lineitem) UNION ALL SELECT 'canonical', 15 FROM (SELECT count(*) FROM lineitem)"""

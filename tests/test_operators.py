@@ -390,6 +390,30 @@ def test_nearest_median_equals_brute_force(spark, k, seed, spread):
     assert {t for t, _ in actual.values()} == {1, 2, 3, 4, 5, 6}
 
 
+def test_a_far_row_does_not_make_quotes_meet_all_rows(spark, monkeypatch):
+    rnd = random.Random(6)
+    past = [("a", "b", "e", "x", 0, float(rnd.randint(1, 49)), float(rnd.randint(60, 3000)), n, float(n)) for n in range(20_000)]
+    quotes = [(n, "a", "b", "e", "x", 0, rnd.randint(1, 49), float(rnd.randint(60, 3000))) for n in range(200)]
+    keys = "source_city string, destination_city string, cabin_class string, airline string, stops int, days_left"
+    quotes_df = spark.createDataFrame(quotes, f"q int, {keys} int, duration_minutes double")
+    pairs, plain = [], nearest.nearest_rows
+
+    def counted(squares, rows, order, k):
+        levels = squares.select("key_no", "level").distinct()
+        placed = nearest.place(rows.join(levels, "key_no"))
+        pairs.append(squares.join(placed.select(*nearest.SQUARE), nearest.SQUARE).count())
+        return plain(squares, rows, order, k)
+
+    monkeypatch.setattr(nearest, "nearest_rows", counted)
+    for far in ([], [("a", "b", "e", "x", 0, 1e6, 100.0, 20_000, 1.0)]):
+        rows = spark.createDataFrame(past + far, f"{keys} double, duration_minutes double, n int, price double")
+        out = {r.q: (r.tier, r.baseline_price) for r in nearest.nearest_median(quotes_df, rows, ["n"]).collect()}
+        some = quotes[:15]
+        assert {q[0]: out[q[0]] for q in some} == brute_force(some, past + far, 200)
+    assert pairs[0] < 200 * 20_000 / 10
+    assert pairs[1] < 1.1 * pairs[0]
+
+
 def test_nearest_median_without_history_or_point(spark):
     keys = "source_city string, destination_city string, cabin_class string, airline string, stops int, days_left"
     past = spark.createDataFrame([], f"{keys} double, duration_minutes double, n int, price double")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from fareflow import schemas, sinks, sources, workspace
 from fareflow.plans import gold, history
+from fareflow.sources import message_log
 from fareflow.sources.message_log import offsets_option
 
 
@@ -114,3 +115,37 @@ def test_history_gold_is_written(spark, tmp_path):
     names = ("flight_fare_analytics", "route_fare_analytics", "ml_training_data")
     history.write_history_gold(rows, {n: f"{tmp_path}/{n}" for n in names})
     assert sources.read_table(spark, f"{tmp_path}/ml_training_data").columns[0] == "airline"
+
+
+def test_parts_of_differing_columns_are_united(spark, tmp_path):
+    sinks.overwrite_table(spark.range(2), f"{tmp_path}/early")
+    sinks.overwrite_table(spark.range(2, 4).selectExpr("id", "id * 2 AS x"), f"{tmp_path}/late")
+    for order in (["early", "late"], ["late", "early"]):
+        rows = sources.read_parts(spark, [f"{tmp_path}/{p}" for p in order])
+        assert sorted((r["id"], r["x"]) for r in rows.collect() if r["x"] is not None) == [(2, 4), (3, 6)]
+        assert rows.count() == 4
+
+
+def test_overwrite_leaves_the_old_table_when_it_fails(spark, tmp_path):
+    path = f"{tmp_path}/table"
+    sinks.overwrite_table(spark.range(3), path)
+    with pytest.raises(Exception, match="boom"):
+        sinks.overwrite_table(spark.range(5).selectExpr("raise_error('boom') AS id"), path)
+    assert spark.read.parquet(path).count() == 3
+    sinks.overwrite_table(spark.read.parquet(path).filter("id > 0"), path)
+    assert spark.read.parquet(path).count() == 2
+    assert [p.name for p in tmp_path.iterdir()] == ["table"]
+
+
+def test_scratch_folders_are_removed(spark):
+    with workspace.scratch(spark):
+        path = workspace.new_folder(spark, "x")
+        spark.range(1).write.parquet(path)
+        assert workspace.exists(spark, path)
+    assert not workspace.exists(spark, path)
+
+
+def test_new_partitions_of_a_topic_get_offsets(spark):
+    saved = spark.createDataFrame([("t", 0, 7)], "topic string, partition int, next_offset long")
+    present = spark.createDataFrame([("t", 0), ("t", 1)], "topic string, partition int")
+    assert sorted(map(tuple, message_log.with_new_partitions(saved, present).collect())) == [("t", 0, 7), ("t", 1, 0)]

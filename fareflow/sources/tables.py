@@ -27,7 +27,8 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     For work that costs far more than the scan. ``keys`` should tell rows apart. What one task
     reads is all that is ever shuffled; a table of two scan tasks or more gets no shuffle.
     """
-    return df.repartition(*keys) if df.rdd.getNumPartitions() == 1 else df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() == 1 else df
 
 
 def stream_table(

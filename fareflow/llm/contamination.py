@@ -6,8 +6,9 @@ written once. The shard's index is the wavelet matrix of the Burrows-Wheeler tra
 sampled suffix positions. All phrases are searched at once, backward, and their rows are walked
 to the next sampled position. Hit positions merge to removal spans.
 
-A benchmark larger than ``BLOCK_BYTES`` is searched block by block in the same pass over the
-documents; only one block at a time is broadcast, so what is broadcast has that bound.
+A benchmark larger than ``BLOCK_BYTES`` is searched block by block, in one pass over the documents
+each, with the hits so far written in between; one block at a time is broadcast, so what is
+broadcast has that bound.
 
 Rows: a null or empty text has no words and no hits; repeated rows are handled one by one; items
 without words have no window; an item without id marks words but is in no item list; an empty
@@ -15,8 +16,8 @@ benchmark leaves every document clean; empty documents give an empty result. Col
 ``doc_id`` and ``text`` (``item_id`` and ``text``) are not looked at.
 """
 
-import hashlib
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fareflow.llm.texts import pieces, utf8
+from fareflow.workspace import settle
 
 WINDOW = 10
 BLOCK_BYTES = 16 << 20
@@ -218,7 +220,7 @@ def phrase_blocks(benchmark: DataFrame, width: int, block_bytes: int) -> Iterato
     texts = benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text").cast("binary").alias("text"))
     texts = texts.filter(F.length("text") > 0)
     size = texts.agg(F.sum(F.length("text"))).first()[0] or 0
-    blocks = -(-size // block_bytes)
+    blocks = max(1, -(-size // block_bytes))
     for k in range(blocks):
         part = texts.filter(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k)
         yield Phrases([(r["item"], bytes(r["text"])) for r in part.toLocalIterator()], width)
@@ -229,33 +231,38 @@ def find_contamination(
 ) -> DataFrame:
     """doc_id, n_words, spans (merged, in words, end exclusive) and items (sorted ids as strings)."""
     context = docs.sparkSession.sparkContext
-    blocks = [context.broadcast(p) for p in phrase_blocks(benchmark, width, block_bytes)]
+    spans_type = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def search(shared, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in pieces(batches):
             texts = utf8(part.column("text"))
-            counts, spans, items = [0] * len(texts), [[] for _ in texts], [set() for _ in texts]
-            if not blocks:
-                counts = [len(words_of(t)) for t in texts]
-            for block in blocks:
-                for k, (n, hit, names) in enumerate(search_shard(texts, block.value)):
-                    counts[k] = n
-                    spans[k] += hit
-                    items[k].update(names)
+            counts, spans, items = [], [], []
+            before = zip(part.column("spans").to_pylist(), part.column("items").to_pylist())
+            for (n, hit, names), (spans_before, items_before) in zip(search_shard(texts, shared.value), before):
+                counts.append(n)
+                spans.append([{"start": a, "end": b} for a, b in merged(hit + [(s["start"], s["end"]) for s in spans_before])])
+                items.append(sorted({*names, *items_before}))
             yield pa.RecordBatch.from_arrays(
                 [
-                    part.column("doc_id").cast(pa.int64()),
-                    pa.array(counts, pa.int64()),
-                    pa.array(
-                        [[{"start": a, "end": b} for a, b in merged(s)] for s in spans],
-                        pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])),
-                    ),
-                    pa.array([sorted(x) for x in items], pa.list_(pa.string())),
+                    part.column("doc_id"), part.column("text"), pa.array(counts, pa.int64()),
+                    pa.array(spans, spans_type), pa.array(items, pa.list_(pa.string())),
                 ],
-                names=["doc_id", "n_words", "spans", "items"],
+                names=["doc_id", "text", "n_words", "spans", "items"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(search, FOUND)
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), "text", F.lit(0).cast("long").alias("n_words"),
+        F.array().cast("array<struct<start:int,end:int>>").alias("spans"), F.array().cast("array<string>").alias("items"),
+    )
+    schema = f"doc_id long, text string, {FOUND.partition(', ')[2]}"
+    shared = None
+    for phrases in phrase_blocks(benchmark, width, block_bytes):
+        if shared is not None:
+            rows = settle(rows, "hits")
+            shared.unpersist()
+        shared = context.broadcast(phrases)
+        rows = rows.mapInArrow(partial(search, shared), schema)
+    return rows.drop("text")
 
 
 def digest(found: DataFrame) -> DataFrame:
@@ -271,14 +278,17 @@ def without_contamination(
 ) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark window, all columns as they are; no shuffle."""
     context = docs.sparkSession.sparkContext
-    blocks = [context.broadcast(p) for p in phrase_blocks(benchmark, width, block_bytes)]
 
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def keep(shared, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in pieces(batches):
-            texts = utf8(part.column("text"))
-            clean = np.ones(len(texts), dtype=bool)
-            for block in blocks:
-                clean &= [not hit for _, hit, _ in search_shard(texts, block.value)]
-            yield part.filter(pa.array(clean))
-
-    return docs.mapInArrow(keep, docs.schema)
+            clean = [not hit for _, hit, _ in search_shard(utf8(part.column("text")), shared.value)]
+            yield part.filter(pa.array(clean, pa.bool_()))
+
+    rows, shared = docs, None
+    for phrases in phrase_blocks(benchmark, width, block_bytes):
+        if shared is not None:
+            rows = settle(rows, "clean")
+            shared.unpersist()
+        shared = context.broadcast(phrases)
+        rows = rows.mapInArrow(partial(keep, shared), docs.schema)
+    return rows

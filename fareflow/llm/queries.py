@@ -5,7 +5,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareflow.llm import contamination, language, mixture, passages, pii, secret_scan, simhash, token_lengths, topk, toxicity
+from fareflow.llm import (
+    alignment,
+    contamination,
+    language,
+    mixture,
+    passages,
+    pii,
+    secret_scan,
+    sharding,
+    simhash,
+    token_lengths,
+    topk,
+    toxicity,
+    whitening,
+)
 from fareflow.llm.oracle import ORACLE_SQL  # noqa: F401
 from fareflow.llm.texts import table
 
@@ -62,6 +76,18 @@ def op10_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination.digest(found)
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened_components(table(spark, sf_dir, "embeddings"))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.aligned_documents(table(spark, sf_dir, "documents"))
+
+
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.digest(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -73,6 +99,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_private_data, op2_language, op3_token_lengths, op4_source_mixture, op5_top_k, op6_simhash, op7_secret_scan,
         op8_repeated_passages, op9_toxicity,
-        op10_contamination, pipeline,
+        op10_contamination, op11_whitening, op12_token_alignment, op13_sharding, pipeline,
     )
 }

@@ -5,8 +5,8 @@ The vocabulary file is read where the job is started and sent along: its size is
 lengths is all that is shuffled. Suffix sums run within blocks of lengths and over the totals of
 the blocks, so no task has all lengths.
 
-Rows: null and empty texts have length 0; repeated rows count each; empty input gives an empty
-histogram. Columns besides ``text`` are not looked at.
+Rows: null and empty texts have length 0; very long texts are encoded whole, part by part; repeated
+rows count each; equal lengths are one row; empty input gives an empty histogram. Columns besides ``text`` are not looked at.
 """
 
 import base64
@@ -16,6 +16,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import regex
 import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,6 +28,7 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 VOCABULARY_BYTES = 32 << 20
 #: Fixed value: the pattern that splits text for this vocabulary.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+SPLIT = regex.compile(PATTERN)
 #: Longer texts are encoded in parts, cut before a single space between two words, where the pattern cuts too.
 PART = 1 << 16
 CUT = re.compile(r"(?<=\S)\x20(?=[^\W\d_])")
@@ -44,15 +46,26 @@ def encoding(ranks: bytes) -> tiktoken.Encoding:
     return _encodings[key]
 
 
+def part_length(tokenizer: tiktoken.Encoding, text: str) -> int:
+    """Tokens of a part; one that could not be cut is split by the pattern here, not in the tokenizer.
+
+    The tokenizer's own splitter needs a stack frame per character of white space and gives up on
+    runs of a million; its encoder takes single pieces of any length.
+    """
+    if len(text) <= 4 * PART:
+        return len(tokenizer.encode_ordinary(text))
+    return sum(len(tokenizer._encode_single_piece(found.group())) for found in SPLIT.finditer(text))
+
+
 def encoded_length(tokenizer: tiktoken.Encoding, text: str) -> int:
     total, start = 0, 0
     while len(text) - start > PART:
         found = CUT.search(text, start + PART)
         if not found:
             break
-        total += len(tokenizer.encode_ordinary(text[start : found.start()]))
+        total += part_length(tokenizer, text[start : found.start()])
         start = found.start()
-    return total + len(tokenizer.encode_ordinary(text[start:] if start else text))
+    return total + part_length(tokenizer, text[start:] if start else text)
 
 
 def read_vocabulary(path: str = VOCABULARY) -> bytes:

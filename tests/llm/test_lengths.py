@@ -16,6 +16,24 @@ def test_long_texts_are_cut_where_the_pattern_cuts(tokenizer):
     assert tl.encoded_length(tokenizer, text) == len(tokenizer.encode_ordinary(text))
 
 
+def test_runs_that_the_pattern_does_not_cut(tokenizer, monkeypatch):
+    runs = [" " * 70_001 + "b", "a" * 70_000, "1" * 70_000, "!?" * 35_000, "\n" * 70_000, "\t \n" * 30_000 + " x", "a b" + " " * 70_000 + "c's 9\n"]
+    for text in runs:
+        whole = len(tokenizer.encode_ordinary(text))
+        monkeypatch.setattr(tl, "PART", 1 << 10)
+        assert tl.encoded_length(tokenizer, text) == whole
+        assert tl.encoded_length(tokenizer, "some words " + text + " and more") == len(tokenizer.encode_ordinary("some words " + text + " and more"))
+
+
+def test_runs_of_five_megabytes(spark, tokenizer):
+    n = 5_000_000
+    texts = [" " * n + "b", "\n" * n + "x", "a" * n, "1" * n, "!" * n]
+    lengths = [tl.encoded_length(tokenizer, t) for t in texts]
+    assert lengths[0] == n and all(0 < k <= n for k in lengths)
+    docs = odd.documents(spark, list(enumerate(texts[:2])))
+    assert {(r["length"], r["docs"]) for r in tl.length_counts(docs).collect()} == {(k, 1) for k in lengths[:2]}
+
+
 def test_histogram_answers_limits_and_quantiles(spark, tokenizer):
     texts = [*odd.ODD[:8], *((30 + k, "some words here " * (k % 5)) for k in range(40))]
     docs = odd.documents(spark, texts)

@@ -14,6 +14,7 @@ teach nothing; without labelled rows of two grades every document gets severity
 besides ``doc_id`` and ``text`` are not looked at.
 """
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -34,6 +35,8 @@ SAMPLE = 4_000
 #: Features kept, and the least number of sampled documents that have one.
 FEATURES, LEAST_DOCS = 4_096, 5
 SEVERE = 4
+#: Times that a feature counts in a document, at most.
+MOST = 4
 REJECT = 0.5
 CACHE = 400_000
 
@@ -69,6 +72,11 @@ def counted(text: str) -> dict[int, int]:
     return out
 
 
+def capped(n: int) -> int:
+    """What a feature that occurs ``n`` times counts, to learn from and to score: long texts stay in the fitted range."""
+    return min(n, MOST)
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, grade: Column, size: int = SAMPLE) -> DataFrame:
     """doc_id, text, grade (0 or more) and weight of at most ``size`` documents per class.
 
@@ -139,7 +147,7 @@ def fit(rows: list[tuple[dict[int, int], int, float]], features: list[int], step
     grades = np.array([g for _, g, _ in rows])
     weight = np.array([w for _, _, w in rows])
     weight = weight / weight.sum()
-    pairs = [(r, place[f], min(n, 4)) for r, (x, _, _) in enumerate(rows) for f, n in x.items() if f in place]
+    pairs = [(r, place[f], capped(n)) for r, (x, _, _) in enumerate(rows) for f, n in x.items() if f in place]
     row, column, value = (np.array(v) for v in zip(*pairs)) if pairs else (np.zeros(0, int),) * 3
     cuts = int(grades.max())
     theta = np.zeros(len(features) + cuts)
@@ -213,26 +221,28 @@ SCORED = "doc_id long, severity double, grade int, p_toxic double"
 
 def scorer(model: OrdinalModel | None):
     """Texts to (expected severity, likeliest grade, P(grade > 0))."""
-    seen: dict[str, float] = {}
+    seen: dict[str, tuple[int, ...]] = {}
     weights = model.weights if model else {}
 
-    def word_weight(word: str) -> float:
+    def known_features(word: str) -> tuple[int, ...]:
         if len(seen) > CACHE:
             seen.clear()
-        seen[word] = value = sum(weights.get(f, 0.0) for f in features_of(word))
-        return value
+        seen[word] = found = tuple(f for f in features_of(word) if f in weights)
+        return found
+
+    def total(text: str) -> float:
+        counts: dict[int, int] = {}
+        for word, n in Counter(WORD.findall(text)).items():
+            found = seen.get(word)
+            for f in known_features(word) if found is None else found:
+                counts[f] = counts.get(f, 0) + n
+        return sum(weights[f] * capped(n) for f, n in sorted(counts.items()))
 
     def score(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         if model is None:
             zero = np.zeros(len(texts))
             return zero, zero.astype(np.int32), zero
-        totals = np.zeros(len(texts))
-        for k, text in enumerate(texts):
-            total = 0.0
-            for word in WORD.findall(text or ""):
-                value = seen.get(word)
-                total += word_weight(word) if value is None else value
-            totals[k] = total
+        totals = np.array([total(t or "") for t in texts])
         below = model.at_most(totals)
         chances = np.diff(np.c_[np.zeros(len(texts)), below, np.ones(len(texts))], axis=1)
         grades = np.arange(chances.shape[1])

@@ -1,13 +1,17 @@
 """The ordinal model, its sample, and what it does on the given labels."""
 
+import math
 import random
 
 import numpy as np
 import odd
+import regex
+import xxhash
 from pyspark.sql import functions as F
 
 from fareflow.llm import toxicity
-from fareflow.llm.queries import op9_toxicity
+from fareflow.llm.queries import op9_toxicity, toxicity_model
+from fareflow.llm.texts import table
 
 
 def graded(rng, n):
@@ -73,6 +77,55 @@ def test_odd_rows_and_no_labels(spark):
     assert toxicity.train(docs, spark.createDataFrame([], "doc_id long, grade int"), F.col("grade")) is None
 
 
+def plain_scores(model, text):
+    """Severity, grade and P(grade > 0) of one text, feature by feature."""
+    counts = {}
+    for word in regex.findall(r"[\p{L}\p{M}]+", text or ""):
+        word = word.lower()
+        for name in [f"={word}", *(f"{word[:k]}-" for k in (4, 5, 6) if len(word) > k)]:
+            key = xxhash.xxh64_intdigest(name) >> 1
+            counts[key] = counts.get(key, 0) + 1
+    x = sum(model.weights.get(k, 0.0) * min(n, 4) for k, n in counts.items())
+    below = [1 / (1 + math.exp(-max(-500, min(500, t - x)))) for t in model.thresholds] + [1.0]
+    chances = [b - a for a, b in zip([0.0, *below], below)]
+    return sum(g * c for g, c in enumerate(chances)), chances.index(max(chances)), 1 - below[0]
+
+
+def test_scores_against_a_plain_version(spark):
+    docs = table(spark, "/root/testdata/sf0.001", "documents")
+    model = toxicity_model(spark, docs, "/root/testdata/sf0.001")
+    docs = docs.select("doc_id", "text").union(odd.odd_documents(spark).select(F.col("doc_id") + 10**6, "text"))
+    texts = {r.doc_id: r.text for r in docs.collect() if r.doc_id is not None}
+    rows = [r for r in toxicity.severity(docs, model).collect() if r.doc_id is not None]
+    assert len(rows) >= len(texts)
+    for r in rows:
+        severity, grade, p = plain_scores(model, texts[r.doc_id])
+        assert abs(r.severity - severity) < 1e-9 and abs(r.p_toxic - p) < 1e-9
+        assert r.grade == grade or abs(severity % 1 - 0.5) < 0.1
+
+
+def test_very_long_texts_stay_in_the_fitted_range(spark):
+    docs, model = trained(spark, graded(random.Random(3), 300))
+    rng = random.Random(4)
+    clean = " ".join(rng.choices([f"w{i}" for i in "abcdefgh"], k=200_000))
+    toxic = clean + " nasty vile nasty vile nasty vile" + clean[:100]
+    rows = {r.doc_id: r for r in toxicity.severity(odd.documents(spark, [(1, clean), (2, toxic)]), model).collect()}
+    assert rows[1].p_toxic < 0.5 < rows[2].p_toxic
+
+
+def test_held_out_labels_are_met(spark):
+    sf_dir = "/root/testdata/sf0.1"
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    kept_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 0
+    model = toxicity.train(docs, labels.filter(~kept_out), F.col("toxic"), binary=True)
+    known = labels.filter(kept_out).select(F.col("doc_id").alias("id"), F.col("toxic").alias("label"))
+    asked = docs.join(known, F.col("doc_id") == F.col("id"), "left_semi")
+    rows = toxicity.severity(asked, model).join(known, F.col("doc_id") == F.col("id"))
+    counts = {(r.label, r.bad): r["count"] for r in rows.groupBy("label", (F.col("p_toxic") >= toxicity.REJECT).alias("bad")).count().collect()}
+    assert counts[1, True] > 0.9 * (counts[1, True] + counts.get((1, False), 0))
+    assert counts.get((0, True), 0) < 0.01 * counts[0, False]
+
+
 def test_given_labels_are_met(spark):
     sf_dir = "/root/testdata/sf0.1"
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", F.col("toxic").alias("label"))

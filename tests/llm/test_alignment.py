@@ -25,7 +25,7 @@ def plain_text(text, a, b):
     """ids, links (i, j, bytes) and groups of one text."""
     if not text:
         return [], [], [], []
-    (x,), (y,) = a.encode([text]), b.encode([text])
+    (x,), (y,) = a.encode([" " + text]), b.encode([" " + text])
     whole = b" " + text.encode()
     if b"".join(a.spelled[i] for i in x) != whole or b"".join(b.spelled[i] for i in y) != whole:
         return [], [], [], []
@@ -46,6 +46,17 @@ def plain_text(text, a, b):
     return x, y, links, groups
 
 
+def test_stretches_give_the_ids_of_the_whole_text(spark, coders):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()
+    rng = np.random.default_rng(3)
+    letters = list(" \n\t\r  'stéßЖω漢😀²½▁19.,!?-_ \u00a0\u0085\x1c<s>")
+    texts = [" " + r.text for r in docs if r.text] + [" " + "".join(rng.choice(letters, size=60)) for _ in range(3000)]
+    for coder in coders:
+        whole = [ids if coder.spells(ids, t) else None for t, ids in zip(texts, coder.encode(texts))]
+        assert [x if x is None else list(x) for x in coder.tokens(texts)] == whole
+    assert sum(coders[0].stretches(t) is not None for t in texts) > 500
+
+
 def plain(rows, a, b):
     found = [(i, *plain_text(t, a, b)) for i, t in rows]
     docs, best = {}, {}

@@ -1,6 +1,7 @@
 """Find secrets with DataFrame functions alone: three patterns and a randomness test battery.
 
-The battery looks at long tokens of letters and digits. The smallest alphabet that holds a
+The battery looks at tokens of letters and digits, and at the parts of runs that paths, addresses and
+names with signs are made of, so a key at the end of a path is tested too. The smallest alphabet that holds a
 token's characters is its encoding; under the hypothesis that the characters were drawn evenly
 from it, a chi-squared test looks at their counts, a runs test at changes between the lower and
 the upper half of the alphabet, and a serial-correlation test at neighbours. The smallest of the
@@ -8,7 +9,7 @@ three, times three, is the token's p-value. Within each length band a false-disc
 all tokens of the corpus (Benjamini-Hochberg, on binned p-values) says which tokens are plainly not
 random; the others are spans of kind ``random``.
 
-Rows: a null or empty text has no span; repeated rows are handled one by one; a null ``doc_id``
+Rows: a null or empty text has no span; very long texts are scanned whole; repeated rows are handled one by one; a null ``doc_id``
 stays null; empty input gives empty output; columns besides ``doc_id`` and ``text`` are ignored.
 Offsets are code points, ends exclusive.
 """
@@ -16,16 +17,24 @@ Offsets are code points, ends exclusive.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fareflow.llm.texts import bound
 from fareflow.workspace import settle
 
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]{14,}"
 HEX = r"[0-9a-f]{16,}"
-TOKEN = r"[A-Za-z0-9+/_-]{24,}"
+#: Runs that are looked at, and the stretches in them.
+TOKEN = r"[A-Za-z0-9+/_-]{16,}"
+PLAIN_RUN = r"[A-Za-z0-9]{16,}"
+SIGNED_RUNS = (r"[A-Za-z0-9+/]{24,}", r"[A-Za-z0-9_-]{24,}")
+#: Least length of a token with signs: paths and joined words are as short.
+SIGNED = 24
+#: Matches of a text whose offsets are added up together.
+RUN = 256
 KINDS = ("assign", "access", "hex", "random")
 ASSIGN_LENGTH = 12
 #: Length bands of the false-discovery rule: a band ends below the next start.
-BANDS = (24, 32, 40, 48, 64, 96, 160)
+BANDS = (16, 20, 24, 32, 40, 48, 64, 96, 160)
 RATE = 0.05
 #: p-values are kept as tenths of a power of ten, up to this many.
 BINS = 300
@@ -43,10 +52,15 @@ ENCODINGS = (
 )
 
 
+EMPTY = "array<struct<start:int,end:int,value:string>>"
+TESTED = "array<struct<start:int,end:int,band:int,bin:int>>"
+
+
 def matches(text: Column, pattern: str, group: int = 0) -> Column:
     """Leftmost non-overlapping matches as an array of (start, end, value); ``value`` is the group.
 
-    The pieces between the matches give the offsets. Only texts that match are taken apart.
+    The pieces between the matches give the offsets: they are added up in blocks of ``RUN`` matches and
+    then over the blocks, so that work does not grow with the square of the matches. Only texts that match are taken apart.
     """
     lit = F.lit(pattern)
     steps = F.zip_with(
@@ -58,7 +72,7 @@ def matches(text: Column, pattern: str, group: int = 0) -> Column:
         ),
         lambda piece, found: F.struct(F.length(piece).alias("gap"), found.alias("found")),
     )
-    empty = F.array().cast("array<struct<start:int,end:int,value:string>>")
+    none = F.array().cast(EMPTY)
 
     def add(state: Column, step: Column) -> Column:
         start = state["at"] + step["gap"]
@@ -66,13 +80,29 @@ def matches(text: Column, pattern: str, group: int = 0) -> Column:
         entry = F.struct(start.alias("start"), end.alias("end"), step["found"]["value"].alias("value"))
         return F.struct(end.alias("at"), F.concat(state["spans"], F.array(entry)).alias("spans"))
 
-    state = F.aggregate(
-        F.filter(steps, lambda s: s["found"].isNotNull()),
-        F.struct(F.lit(0).alias("at"), empty.alias("spans")),
-        add,
-        lambda s: s["spans"],
-    )
-    return F.when(F.rlike(text, lit), state).otherwise(empty)
+    def in_block(block: Column) -> Column:
+        return F.aggregate(block, F.struct(F.lit(0).alias("at"), none.alias("spans")), add)
+
+    def blocks_of(steps: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.size(steps), F.lit(1)), F.lit(RUN))
+        return F.transform(starts, lambda k: in_block(F.slice(steps, k, F.lit(RUN))))
+
+    def offsets(blocks: Column) -> Column:
+        return F.aggregate(
+            blocks, F.array(F.lit(0)), lambda a, block: F.concat(a, F.array(F.element_at(a, -1) + block["at"]))
+        )
+
+    def moved(blocks: Column) -> Column:
+        shifted = F.zip_with(
+            blocks, F.slice(offsets(blocks), F.lit(1), F.size(blocks)),
+            lambda block, by: F.transform(block["spans"], lambda m: F.struct(
+                (m["start"] + by).alias("start"), (m["end"] + by).alias("end"), m["value"].alias("value")
+            )),
+        )
+        return F.flatten(shifted)
+
+    found = F.filter(steps, lambda s: s["found"].isNotNull())
+    return F.when(F.rlike(text, lit), bound(bound(found, blocks_of), moved)).otherwise(none)
 
 
 def normal_tail(z: Column) -> Column:
@@ -155,26 +185,65 @@ def base_spans(text: Column) -> Column:
     return F.concat(*[of_kind(spans, kind) for kind, spans in found.items()])
 
 
-def tested_tokens(text: Column) -> Column:
-    """Array of (start, end, band, bin) of the long tokens of letters and digits."""
-    tokens = F.filter(
-        matches(text, TOKEN), lambda m: F.rlike(m["value"], F.lit("[0-9]")) & F.rlike(m["value"], F.lit("[A-Za-z]"))
-    )
-    tested = F.transform(tokens, lambda m: F.struct(
-        m["start"].alias("start"), m["end"].alias("end"),
+def mixed(value: Column) -> Column:
+    """Whether a token has letters and digits."""
+    return F.rlike(value, F.lit("[0-9]")) & F.rlike(value, F.lit("[A-Za-z]"))
+
+
+def tested(found: Column, begin: Column) -> Column:
+    """Matches as (start, end, band, bin), moved by ``begin``."""
+    return F.transform(found, lambda m: F.struct(
+        (m["start"] + begin).alias("start"), (m["end"] + begin).alias("end"),
         band(F.length(m["value"])).alias("band"), p_bin(battery(m["value"])).alias("bin"),
     ))
-    return F.filter(tested, lambda m: m["bin"].isNotNull())
 
 
-def random_tokens(tokens: Column, limits: dict[int, int]) -> Column:
-    """Those of the tested tokens that are not plainly regular."""
+def tested_tokens(text: Column) -> Column:
+    """Array of (whole, parts) of the runs of letters, digits and the signs of encodings.
+
+    ``whole`` is the run as (start, end, band, bin) and null if no encoding has all of its characters or it is too
+    short for one with signs; ``parts`` are the pieces to look at if the whole is not reported: stretches of letters
+    and digits, and, of a run that no encoding fits, those in either alphabet with signs.
+    """
+    def run(m: Column) -> Column:
+        value, begin = m["value"], m["start"]
+        plain = F.rlike(value, F.lit("^[A-Za-z0-9]+$"))
+        both = F.rlike(value, F.lit("[+/]")) & F.rlike(value, F.lit("[_-]"))
+        none = F.array().cast(EMPTY)
+        whole = F.when((plain | (~both & (F.length(value) >= SIGNED))) & mixed(value), F.array(F.struct(
+            F.lit(0).alias("start"), F.length(value).alias("end"), value.alias("value")
+        ))).otherwise(none)
+        signed = [F.filter(matches(value, p), lambda x: F.rlike(x["value"], F.lit("[^A-Za-z0-9]"))) for p in SIGNED_RUNS]
+        parts = F.when(plain, none).otherwise(F.concat(matches(value, PLAIN_RUN), F.when(both, F.concat(*signed)).otherwise(none)))
+        parts = F.filter(parts, lambda x: mixed(x["value"]))
+        return F.struct(F.get(tested(whole, begin), F.lit(0)).alias("whole"), tested(parts, begin).alias("parts"))
+
+    looked = F.transform(matches(text, TOKEN), run)
+    return F.filter(looked, lambda r: r["whole"].isNotNull() | (F.size(r["parts"]) > 0))
+
+
+def random_tokens(runs: Column, limits: dict[int, int]) -> Column:
+    """Those of the tested tokens that are not plainly regular; a part inside another one is left out."""
     edges = F.array(*[F.lit(limits[b]) for b in range(len(BANDS))])
-    return F.filter(tokens, lambda m: m["bin"] < F.element_at(edges, m["band"] + 1))
+
+    def passes(m: Column) -> Column:
+        return m["bin"] < F.element_at(edges, m["band"] + 1)
+
+    def widest(parts: Column) -> Column:
+        def inside(a: Column, b: Column) -> Column:
+            return (b["start"] <= a["start"]) & (a["end"] <= b["end"]) & (b["end"] - b["start"] > a["end"] - a["start"])
+
+        return F.filter(parts, lambda a: ~F.exists(parts, lambda b: inside(a, b)))
+
+    def of_run(run: Column) -> Column:
+        kept = bound(F.filter(run["parts"], passes), widest)
+        return F.when(run["whole"].isNotNull() & passes(run["whole"]), F.array(run["whole"])).otherwise(kept)
+
+    return F.flatten(F.transform(runs, of_run))
 
 
 def scan(docs: DataFrame) -> DataFrame:
-    """doc_id, base (array of start, kind, end) and tokens (array of start, end, band, bin)."""
+    """doc_id, base (array of start, kind, end) and tokens (array of whole and parts)."""
     text = F.coalesce(F.col("text"), F.lit(""))
     return docs.select("doc_id", base_spans(text).alias("base"), tested_tokens(text).alias("tokens"))
 
@@ -184,7 +253,9 @@ def plain_from_bin(scanned: DataFrame, rate: float = RATE) -> dict[int, int]:
 
     Step-up rule over the counts of (band, bin), at most ``len(BANDS) * (BINS + 1)`` rows.
     """
-    counts = scanned.select(F.explode("tokens").alias("t")).groupBy("t.band", "t.bin").count().collect()
+    each = F.concat(F.when(F.col("t.whole").isNotNull(), F.array("t.whole")).otherwise(F.array().cast(TESTED)), F.col("t.parts"))
+    tokens = scanned.select(F.explode("tokens").alias("t")).select(F.explode(each).alias("t"))
+    counts = tokens.groupBy("t.band", "t.bin").count().collect()
     limits = {}
     for b in range(len(BANDS)):
         bins = {r["bin"]: r["count"] for r in counts if r["band"] == b}

@@ -25,6 +25,7 @@ have any names: they travel in one struct and come back as they were, but for co
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fareflow.llm.texts import bound
 from fareflow.workspace import settle
 
 SHARDS = 16
@@ -43,11 +44,6 @@ def uniform(*of: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(*of), 11).cast("double") / F.lit(float(1 << 53))
 
 
-def bound(value: Column, use) -> Column:
-    """``use(value)`` with the value computed once, however often ``use`` names it."""
-    return F.element_at(F.transform(F.array(value), use), 1)
-
-
 def hypergeometric(u: Column, total: Column, marked: Column, drawn: Column) -> Column:
     """How many of ``drawn`` rows of ``total`` are among the ``marked`` ones: inversion from the mode.
 

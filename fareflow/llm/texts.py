@@ -5,7 +5,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from fareflow.workspace import ship
 
@@ -35,3 +36,8 @@ def pieces(batches: Iterator[pa.RecordBatch], size: int = PIECE_BYTES) -> Iterat
 def utf8(column: pa.Array) -> list[bytes]:
     """The texts as UTF-8 bytes; null is empty."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
+
+
+def bound(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often ``use`` names it."""
+    return F.element_at(F.transform(F.array(value), use), 1)

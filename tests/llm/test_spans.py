@@ -1,6 +1,7 @@
 """Personal data and secrets against their patterns."""
 
 import random
+import re
 from collections import Counter
 
 import odd
@@ -109,3 +110,42 @@ def test_without_secrets_keeps_clean_rows(spark):
     kept = secret_scan.without_secrets(docs)
     assert kept.columns == docs.columns
     assert sorted((r["doc_id"] or 0, r["text"]) for r in kept.collect() if r["text"]) == [(0, "clean"), (1, "clean"), (2, "same id")]
+
+
+def test_matches_of_many_and_few(spark, monkeypatch):
+    monkeypatch.setattr(secret_scan, "RUN", 7)
+    rng = random.Random(8)
+    texts = ["".join(rng.choice("ab1 😀") for _ in range(rng.choice((0, 5, 300)))) for _ in range(60)]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string")
+    got = [r[0] for r in rows.select(secret_scan.matches(F.col("text"), "[ab]([ab1]+)", 1)).collect()]
+    for text, found in zip(texts, got):
+        assert [tuple(m) for m in found] == [(*m.span(), m[1]) for m in re.finditer("[ab]([ab1]+)", text)]
+
+
+def test_twenty_thousand_matches_in_one_text(spark):
+    rng = random.Random(9)
+    text = " ".join("".join(rng.choice("0123456789abcdef") for _ in range(20)) for _ in range(20_000))
+    row = secret_scan.digest(secret_scan.find_secrets(odd.documents(spark, [(1, text)]))).first()
+    assert (row.n_hex, row.base_sha256) == (20_000, plain.digest(plain.written(plain.secrets(text), secret_scan.KINDS)))
+
+
+def test_keys_in_paths_and_addresses(spark):
+    rng = random.Random(10)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    key, short, signed = ("".join(rng.choice(letters + more) for _ in range(n)) for n, more in ((32, ""), (22, ""), (40, "+/")))
+    places = [
+        key, f"api/v1/sk_live_{key}", f"https://host-a.example/x_y/{key}?q=1", f"a-b/c_d/{key}-x", short, f"id_{short}/x-y", f"my-file_{signed}",
+        "some-long_path/with-many/words_and-no/key1", "the/2024-05-06/report_of-the/day", "a1b2" * 4, "1234567890123456789012", "abcdefghijklmnopqrstuvw",
+    ]
+    regular = [f"word-{k}-" + "ab12" * 6 for k in range(60)]
+    rows = [(k, f"see {p} now") for k, p in enumerate(places)] + [(1000 + k, r) for k, r in enumerate(regular)]
+    found = {r.doc_id: r.spans for r in secret_scan.digest(secret_scan.find_secrets(odd.documents(spark, rows))).collect()}
+
+    def reported(k):
+        text = dict(rows)[k]
+        return [text[int(a) : int(b)] for kind, a, b in (s.split(":") for s in found[k].split(",") if s) if kind == "random"]
+
+    assert all(any(key in t for t in reported(k)) for k in range(4))
+    assert reported(4) == [short] and any(short in t for t in reported(5))
+    assert any(signed[:20] in t or signed[-20:] in t for t in reported(6))
+    assert reported(10) == reported(11) == []

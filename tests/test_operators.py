@@ -3,6 +3,7 @@
 import random
 from statistics import median
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F, types as T
 
@@ -396,15 +397,13 @@ def test_a_far_row_does_not_make_quotes_meet_all_rows(spark, monkeypatch):
     quotes = [(n, "a", "b", "e", "x", 0, rnd.randint(1, 49), float(rnd.randint(60, 3000))) for n in range(200)]
     keys = "source_city string, destination_city string, cabin_class string, airline string, stops int, days_left"
     quotes_df = spark.createDataFrame(quotes, f"q int, {keys} int, duration_minutes double")
-    pairs, plain = [], nearest.nearest_rows
+    pairs, plain = [], nearest.medians
 
-    def counted(squares, rows, order, k):
-        levels = squares.select("key_no", "level").distinct()
-        placed = nearest.place(rows.join(levels, "key_no"))
-        pairs.append(squares.join(placed.select(*nearest.SQUARE), nearest.SQUARE).count())
-        return plain(squares, rows, order, k)
+    def counted(members, groups, rows, *rest):
+        pairs.append(members.join(nearest.rows_to_search(groups, rows), "group_no").count())
+        return plain(members, groups, rows, *rest)
 
-    monkeypatch.setattr(nearest, "nearest_rows", counted)
+    monkeypatch.setattr(nearest, "medians", counted)
     for far in ([], [("a", "b", "e", "x", 0, 1e6, 100.0, 20_000, 1.0)]):
         rows = spark.createDataFrame(past + far, f"{keys} double, duration_minutes double, n int, price double")
         out = {r.q: (r.tier, r.baseline_price) for r in nearest.nearest_median(quotes_df, rows, ["n"]).collect()}
@@ -414,6 +413,43 @@ def test_a_far_row_does_not_make_quotes_meet_all_rows(spark, monkeypatch):
     assert pairs[1] < 1.1 * pairs[0]
 
 
+def test_summed_areas_count_any_square():
+    rnd = np.random.default_rng(1)
+    u, v = rnd.normal(size=(2, 3000)) * [[50], [400]]
+    u[:3] = 1e6
+    quotes = {"u": rnd.normal(size=40) * 60, "v": rnd.normal(size=40) * 500}
+    for axis, at in (("u", u), ("v", v)):
+        low, high = np.quantile(at, [0.02, 0.98])
+        quotes |= {f"{axis}_{c}": np.full(40, x) for c, x in (
+            ("low", low - (high - low) / 4), ("width", (high - low) * 1.5 / nearest.GRID), ("min", at.min()), ("max", at.max())
+        )}
+    cells = [np.clip((at - quotes[f"{x}_low"][0]) // quotes[f"{x}_width"][0], 0, nearest.GRID - 1).astype(int) for x, at in (("u", u), ("v", v))]
+    table = nearest.summed_areas(*cells, np.ones(3000, dtype=np.int64))
+    assert table[-1, -1] == 3000
+    for k in (1, 50, 3000, 9999):
+        reach = nearest.reach_of(quotes, table, k)
+        for i in range(40):
+            away = np.sort(np.maximum(abs(u - quotes["u"][i]), abs(v - quotes["v"][i])))
+            assert reach[i] >= away[min(k, 3000) - 1] - 1e-6
+            if k == 50:  # no more than two cells beyond
+                assert reach[i] <= away[49] + 2 * max(quotes["u_width"][0], quotes["v_width"][0])
+
+
+@pytest.mark.parametrize("rows, quotes", [(50, 4096), (10**6, 2)])
+def test_groups_that_are_split_or_joined(spark, monkeypatch, rows, quotes):
+    monkeypatch.setattr(nearest, "GROUP_ROWS", rows)
+    monkeypatch.setattr(nearest, "GROUP_QUOTES", quotes)
+    monkeypatch.setattr(nearest, "TABLE_QUOTES", 5)
+    rnd = random.Random(8)
+    past = [("a", "b", "e", "x", 0, float(rnd.randint(1, 20)), float(rnd.randint(60, 300)), n, float(rnd.randint(1, 99))) for n in range(600)]
+    asked = [(n, "a", "b", "e", "x", 0, rnd.randint(1, 20), float(rnd.randint(60, 300))) for n in range(30)]
+    keys = "source_city string, destination_city string, cabin_class string, airline string, stops int, days_left"
+    quotes_df = spark.createDataFrame(asked, f"q int, {keys} int, duration_minutes double")
+    rows_df = spark.createDataFrame(past, f"{keys} double, duration_minutes double, n int, price double")
+    out = nearest.nearest_median(quotes_df, rows_df, ["n"], k=25).collect()
+    assert {r.q: (r.tier, r.baseline_price) for r in out} == brute_force(asked, past, 25)
+
+
 def test_nearest_median_without_history_or_point(spark):
     keys = "source_city string, destination_city string, cabin_class string, airline string, stops int, days_left"
     past = spark.createDataFrame([], f"{keys} double, duration_minutes double, n int, price double")

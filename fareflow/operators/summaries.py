@@ -5,7 +5,12 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from fareflow.functions import known_number
+from fareflow.workspace import settle
 
+#: Ranges that a key's values are cut into, values that are few enough to be put in order, and turns.
+BUCKETS, FEW_VALUES, MOST_TURNS = 256, 1024, 64
+#: Logarithm of the cells of a sketch: a standard error of about 0.8 %.
+SKETCH_BITS = 14
 HISTORY_AVERAGES = ("duration_minutes", "days_left", "stops")
 
 
@@ -162,21 +167,93 @@ def outcome_counts(df: DataFrame, status: Column, events: Column) -> DataFrame:
 
 
 def median_price(df: DataFrame, keys: Sequence[str], price: str = "price") -> DataFrame:
-    """Exact median per key.
+    """Exact median per key, by distributed selection.
 
-    Prices are counted per key and value, with map-side partials; running counts over those
-    rows pick the one or two middle values, so no task holds the prices of a key.
+    Prices are counted per key and value. For each of the one or two middle places the values of a key
+    are counted in ``BUCKETS`` ranges; the range that holds the place is cut again, until it has
+    few values or one. So no task holds the values of a key, however many it has.
     """
     value = known_number(df, price).cast("double")
     counts = df.groupBy(*keys, value.alias("_price")).agg(F.count(value).alias("_n"))
-    group = Window.partitionBy(*keys)
-    upto = F.sum("_n").over(group.orderBy("_price").rowsBetween(Window.unboundedPreceding, 0))
-    placed = counts.withColumns({"_upto": upto, "_all": F.sum("_n").over(group)})
+    counts = settle(counts, "prices")
+    return picked_places(counts, keys).groupBy(*keys).agg(F.avg("_price").alias("median_price"))
+
+
+def picked_places(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Per key the values at the lower and the upper middle place (``keys``, ``_place``, ``_price``)."""
+    key = [F.col(k).alias(f"_k{n}") for n, k in enumerate(keys)]
+    names = [f"_k{n}" for n in range(len(keys))]
+    rows = counts.select(*key, "_price", "_n")
+    known = F.col("_price").isNotNull()
+    bounds = rows.groupBy(*names).agg(
+        F.coalesce(F.sum(F.when(known, F.col("_n"))), F.lit(0)).alias("_all"),
+        F.min("_price").alias("_low"), F.max("_price").alias("_high"), F.count("_price").alias("_values"),
+    )
     # The middle places, counted from 1, are (all + 1) / 2 rounded down and up.
-    low, high = F.floor((F.col("_all") + 1) / 2), F.ceil((F.col("_all") + 1) / 2)
+    middle = (F.col("_all") + 1) / 2
+    places = F.array_distinct(F.array(F.floor(middle), F.ceil(middle)))
+    open_ = settle(bounds.select(
+        *names, F.explode(places).alias("_place"), "_low", "_high", "_values", F.lit(0).cast("long").alias("_below")
+    ), "places")
+    done = None
+    for turn in range(MOST_TURNS):
+        closed = open_.filter(F.col("_values") <= FEW_VALUES)
+        done = closed if done is None else done.unionByName(closed)
+        wide = open_.filter(F.col("_values") > FEW_VALUES)
+        if wide.isEmpty():
+            break
+        open_ = settle(narrowed(rows, wide, names, turn), "places")
+    else:
+        raise ValueError("the prices cannot be told apart by ranges")
+    near = within(rows, done, names)
+    order = Window.partitionBy(*names, "_place").orderBy("_price").rowsBetween(Window.unboundedPreceding, 0)
+    upto = near.withColumn("_upto", F.sum("_n").over(order) + F.col("_below"))
+    hit = (F.col("_upto") >= F.col("_place")) & (F.col("_upto") - F.col("_n") < F.col("_place"))
+    found = upto.filter(hit).select(*names, "_place", "_price")
+    empty = done.filter("_values = 0").select(*names, "_place", F.lit(None).cast("double").alias("_price"))
+    return found.unionByName(empty).withColumnsRenamed(dict(zip(names, keys)))
+
+
+def within(rows: DataFrame, places: DataFrame, names: Sequence[str]) -> DataFrame:
+    """The values between the bounds of each place; NULL keys are keys."""
+    here = places.withColumnsRenamed({n: f"{n}_of" for n in names})
+    match = F.col("_price").between(F.col("_low"), F.col("_high"))
+    for n in names:
+        match = match & F.col(n).eqNullSafe(F.col(f"{n}_of"))
+    return rows.join(here, match).drop(*[f"{n}_of" for n in names])
+
+
+def narrowed(rows: DataFrame, places: DataFrame, names: Sequence[str], turn: int) -> DataFrame:
+    """The one of ``BUCKETS`` ranges between the bounds that holds the place.
+
+    Ranges are equally wide; every other turn they are so on a logarithmic scale from the lower bound,
+    which also cuts values that crowd there.
+    """
+    span, at = F.col("_high") - F.col("_low"), F.col("_price") - F.col("_low")
+    share = at / span if turn % 2 == 0 else F.log1p(at * 1e6 / span) / F.log1p(F.lit(1e6))
+    bucket = F.least(F.floor(share * BUCKETS), F.lit(BUCKETS - 1)).cast("int")
+    cells = within(rows, places, names).groupBy(*names, "_place", bucket.alias("_bucket"), "_below").agg(
+        F.sum("_n").alias("_n"), F.min("_price").alias("_low"), F.max("_price").alias("_high"), F.count("*").alias("_values")
+    )
+    order = Window.partitionBy(*names, "_place").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
+    upto = cells.withColumn("_upto", F.sum("_n").over(order) + F.col("_below"))
+    hit = (F.col("_upto") >= F.col("_place")) & (F.col("_upto") - F.col("_n") < F.col("_place"))
+    return upto.filter(hit).select(
+        *names, "_place", "_low", "_high", "_values", (F.col("_upto") - F.col("_n")).alias("_below")
+    )
+
+
+def distinct_sketches(df: DataFrame, metrics: Mapping[str, Column], keys: Sequence[str | Column]) -> DataFrame:
+    """Per key a mergeable sketch of the distinct values of each metric; a few kilobytes each."""
+    return df.groupBy(*keys).agg(*[F.hll_sketch_agg(c, F.lit(SKETCH_BITS)).alias(m) for m, c in metrics.items()])
+
+
+def merge_sketches(sketches: DataFrame, metrics: Sequence[str], keys: Sequence[str | Column] = ()) -> DataFrame:
+    """Sketches of several batches, or rolled up to fewer keys."""
+    return sketches.groupBy(*keys).agg(*[F.hll_union_agg(m).alias(m) for m in metrics])
 
-    def at(place: Column) -> Column:
-        inside = (F.col("_upto") >= place) & (F.col("_upto") - F.col("_n") < place)
-        return F.max(F.when(inside, F.col("_price")))
 
-    return placed.groupBy(*keys).agg(((at(low) + at(high)) / 2).alias("median_price"))
+def sketch_estimates(sketches: DataFrame, metrics: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
+    """``keys``, metric and the estimated number of distinct values."""
+    counts = sketches.select(*keys, *[F.hll_sketch_estimate(m).alias(m) for m in metrics])
+    return counts.unpivot([*keys], list(metrics), "metric", "estimate")

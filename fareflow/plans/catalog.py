@@ -3,6 +3,7 @@
 from collections.abc import Callable
 from functools import cache
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -365,6 +366,29 @@ def median_by_route(spark, sf_dir):
     return summaries.median_price(unique_live(spark, sf_dir), ["route"])
 
 
+@query
+def distinct_by_month(spark, sf_dir):
+    # Sketches of two halves of the rows, stored per month of travel and united, beside exact counts.
+    rows = unique_live(spark, sf_dir)
+    metrics = {"routes": F.col("route"), "airlines": F.col("airline"), "events": F.col("event_id")}
+    month = F.trunc("travel_date", "month").alias("month")
+    folder = new_folder(spark, "sketches")
+    for half in (0, 1):
+        part = rows.filter(F.pmod(F.xxhash64("event_id"), F.lit(2)) == half)
+        append_table(summaries.distinct_sketches(part, metrics, [month]), folder)
+    sketches = read_table(spark, folder)
+    monthly = summaries.merge_sketches(sketches, list(metrics), ["month"])
+    total = summaries.merge_sketches(sketches, list(metrics)).withColumn("month", F.lit(None).cast("date"))
+    estimated = summaries.sketch_estimates(monthly.unionByName(total), list(metrics), ["month"])
+    exact = rows.groupBy(month).agg(*[F.count_distinct(c).alias(m) for m, c in metrics.items()])
+    whole = rows.agg(*[F.count_distinct(c).alias(m) for m, c in metrics.items()]).withColumn("month", F.lit(None).cast("date"))
+    exact = exact.unionByName(whole).unpivot(["month"], list(metrics), "metric", "distinct_values")
+    exact = exact.withColumnsRenamed({"month": "of_month", "metric": "of_metric"})
+    both = estimated.join(exact, F.col("month").eqNullSafe(F.col("of_month")) & (F.col("metric") == F.col("of_metric")))
+    near = F.abs(F.col("estimate") - F.col("distinct_values")) <= 0.03 * F.col("distinct_values")
+    return both.select("month", "metric", "distinct_values", near.alias("within_3_percent"))
+
+
 # Message log
 
 
@@ -603,20 +627,93 @@ def stream_dedup_global(spark, sf_dir):
     return rows.select("event_id", "route", "price")
 
 
+def payload_in_turns(spark: SparkSession, sf_dir: str, run: Callable[[DataFrame], object]) -> None:
+    """Three runs of a job over a growing table of the events, in time order."""
+    testbed.in_turns(testbed.table(spark, sf_dir, "events"), "ts", lambda rows: run(testbed.live_rows(rows)))
+
+
 @query
 def stream_windows_closed(spark, sf_dir):
     folder = new_folder(spark, "windows")
-    streaming.run_windows(live.clean_live(payload_in_parts(spark, sf_dir)), folder)
+    payload_in_turns(spark, sf_dir, lambda rows: streaming.run_windows(live.clean_live(rows), folder))
     return plain_times(spark.read.parquet(f"{folder}/rows"))
 
 
+@query
+def stream_open_windows(spark, sf_dir):
+    # Three batches, then the last one once more: all windows, open ones too, are there once.
+    folder = new_folder(spark, "open-windows")
+    unique = unique_live(spark, sf_dir)
+    streams = []
+
+    def run(rows):
+        streams[:] = [rows]
+        streaming.run_open_windows(rows, folder)
+
+    testbed.in_turns(unique, "event_timestamp", run)
+    testbed.forget_last_batch(spark, f"{folder}/checkpoint", ends_empty=True)
+    run(streams[0])
+    return plain_times(streaming.read_windows(spark, folder, windows.sliding_summary(unique).schema))
+
+
+@query
+def stream_quarantine(spark, sf_dir):
+    # Rule totals from the rejected rows, and the counters, after three batches and a replayed one.
+    folder = new_folder(spark, "quarantine")
+    streams = []
+
+    def run(rows):
+        streams[:] = [rows]
+        streaming.run_quarantine(rows, folder)
+
+    payload_in_turns(spark, sf_dir, run)
+    testbed.forget_last_batch(spark, f"{folder}/checkpoint")
+    run(streams[0])
+    rows = spark.read.parquet(f"{folder}/rows")
+    failed = rows.filter("verdict = 'rejected'").select(F.explode("failed_rules").alias("name"))
+    kept = rows.select(F.concat("verdict", F.lit(" rows")).alias("name"))
+    stored = failed.unionByName(kept).groupBy("name").agg(F.count(F.lit(1)).alias("stored_rows"))
+    seen = spark.read.parquet(f"{folder}/counters").withColumn(
+        "name", F.when(F.col("counter") == "kept", "kept rows").otherwise(F.col("counter"))
+    )
+    counted = seen.groupBy("name").agg(F.sum("value").alias("counted_rows"))
+    return counted.join(stored, "name", "full").filter("coalesce(counted_rows, 1) > 0")
+
+
 def streamed_gold(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A summary table after three micro-batches."""
     folder = new_folder(spark, "gold")
-    streaming.refresh_gold_stream(live.clean_live(payload_in_parts(spark, sf_dir)), folder)
+    payload_in_turns(spark, sf_dir, lambda rows: streaming.refresh_gold_stream(live.clean_live(rows), folder))
     return gold.read_gold(spark, folder, name)
 
 
+def withdrawn_gold(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A summary table after three micro-batches and a fourth one that takes every seventh event out."""
+    folder = new_folder(spark, "withdrawn")
+    rows = settle(unique_live(spark, sf_dir), "unique")
+    first, last = rows.agg(F.min("event_timestamp"), F.max("event_timestamp")).first()
+    added = rows.withColumns({"withdrawn": F.lit(False), "sent_at": F.col("event_timestamp")})
+    every_seventh = rows.filter(F.col("event_id").cast("long") % 7 == 0)
+    out = every_seventh.withColumns({"withdrawn": F.lit(True), "sent_at": F.lit(last + (last - first) / 3)})
+
+    def run(stream):
+        keys = ["event_id", "withdrawn"]
+        streaming.refresh_gold_stream(stream, folder, keys, "global", gold.Withdrawals)
+
+    testbed.in_turns(added.unionByName(out), "sent_at", run, parts=4)
+    return gold.read_gold(spark, folder, name)
+
+
+@query
+def stream_gold_withdrawn(spark, sf_dir):
+    return withdrawn_gold(spark, sf_dir, "airline_price_analytics")
+
+
+@query
+def stream_windows_withdrawn(spark, sf_dir):
+    return plain_times(withdrawn_gold(spark, sf_dir, "price_window_analytics"))
+
+
 @query
 def stream_gold_refresh(spark, sf_dir):
     return streamed_gold(spark, sf_dir, "airline_price_analytics")
@@ -664,10 +761,6 @@ def stream_clean_resumed(spark, sf_dir):
     return plain_times(spark.read.parquet(f"{folder}/out/rows"))
 
 
-def payload_in_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return testbed.live_rows(testbed.events_in_parts(spark, sf_dir))
-
-
 def payload_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return testbed.live_rows(testbed.events_stream(spark, sf_dir))
 
@@ -712,6 +805,20 @@ def linear_one_feature(spark, sf_dir):
     return spark.createDataFrame(line, "slope double, intercept double")
 
 
+@query
+def tree_split_scores(spark, sf_dir):
+    # A forest of one tree with one split, stored and loaded again: what each side is scored with.
+    rows = standardize.training_rows(canonical(spark, sf_dir)).dropna(subset=["price", "days_left"])
+    vectors = VectorAssembler(inputCols=["days_left"], outputCol="features").transform(rows)
+    fitted = pricing.one_split_tree().fit(vectors.select("features", "price"))
+    folder = new_folder(spark, "tree")
+    pricing.save_model(PipelineModel([fitted]), folder)
+    scored = pricing.score(pricing.load_model(folder), vectors, digits=4)
+    return scored.groupBy("prediction").agg(
+        F.min("days_left").alias("from_days"), F.max("days_left").alias("to_days"), F.count(F.lit(1)).alias("rows")
+    )
+
+
 @cache
 def stored_best(application: str, sf_dir: str) -> tuple[str, list[tuple]]:
     """Folder of the best model and the leaderboard, trained once per application and data."""

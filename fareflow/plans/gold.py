@@ -7,15 +7,17 @@ costs what the batch and its months cost, however long the history is.
 """
 
 from collections.abc import Sequence
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from fareflow.constants import WINDOW_SIZE_SECONDS
 from fareflow.operators.summaries import fare_partials, finish_partials, merge_partials
 from fareflow.operators.windows import slide_bucket, window_partials
+from fareflow.sinks.generations import read_generation, write_generation
 from fareflow.sinks.tables import overwrite_partitions, overwrite_table
 from fareflow.sources.tables import query_over, read_table
-from fareflow.workspace import exists, remove
+from fareflow.workspace import remove
 
 ROUTE_KEYS = ("route", "travel_date", "class")
 CARRIER_KEYS = ("route", "travel_date", "airline", "airline_code", "class")
@@ -75,72 +77,123 @@ def read_gold(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return read_table(spark, f"{folder}/{name}").drop("part")
 
 
-def read_partials(spark: SparkSession, folder: str, parts: DataFrame, before: int) -> DataFrame:
-    """All partials of the given parts that batches before ``before`` have left.
+def add_up(partials: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return partials
 
-    Parts and batches are partition columns, so other parts are not read.
-    """
-    stored = read_table(spark, folder).filter(F.col("upto") < before)
-    return stored.withColumn("part", F.col("part").cast("date")).join(parts, "part", "left_semi")
+
+class Refresh:
+    """How partials are made, merged and read: sums that only grow here, see ``Withdrawals``."""
+
+    make = staticmethod(finest_partials)
+    merge = staticmethod(merge_partials)
+    partials = staticmethod(add_up)
+
+
+def price_counts(rows: DataFrame) -> DataFrame:
+    """Rows per finest key and price; rows with ``withdrawn`` count against it."""
+    sign = F.when(F.col("withdrawn"), -1).otherwise(1)
+    keys = [*CARRIER_KEYS, slide_bucket("event_timestamp").alias("bucket_start")]
+    return rows.groupBy(*keys, "price").agg(F.sum(sign).alias("rows"))
+
+
+def merge_counts(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """A price that all its rows were withdrawn from is gone."""
+    return counts.groupBy(*keys, "price").agg(F.sum("rows").alias("rows")).filter("rows <> 0")
 
 
-def latest_generation(stored: DataFrame) -> DataFrame:
-    latest = stored.groupBy("part").agg(F.max("upto").alias("upto"))
-    return stored.join(latest, ["part", "upto"], "left_semi").drop("upto")
+def partials_of_counts(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The partials that the remaining rows have."""
+    known = F.col("price").isNotNull()
+    return counts.groupBy(*keys).agg(
+        F.sum("rows").alias("rows"),
+        F.min("price").alias("min_price"),
+        F.max("price").alias("max_price"),
+        F.sum(F.col("price") * F.col("rows")).alias("sum_price"),
+        F.sum(F.when(known, F.col("rows")).otherwise(0)).alias("n_price"),
+    ).filter("rows <> 0")
 
 
-def merge_into_parts(batch: DataFrame, keys: Sequence[str], folder: str, batch_id: int) -> DataFrame:
-    """Merge a batch's partials (with ``part``) into those of its parts; gives the parts.
+class Withdrawals:
+    """Partials that can shrink: how many rows have which price, since a minimum cannot be subtracted."""
 
-    A part's partials are written anew as generation ``batch_id``. A replayed batch starts from
-    the generation before its own again and writes the same; older ones are removed, so a part
-    has two at most.
+    make = staticmethod(price_counts)
+    merge = staticmethod(merge_counts)
+    partials = staticmethod(partials_of_counts)
+
+
+def merge_into_parts(
+    batch: DataFrame, keys: Sequence[str], parts: Sequence[str], folder: str, batch_id: int, how=Refresh
+) -> DataFrame:
+    """Merge a batch's partials (with ``part``) into the stored ones of its parts; gives the merged ones."""
+    batch = how.merge(batch, [*keys, "part"])
+    stored = read_generation(batch.sparkSession, folder, batch.schema, parts, batch_id)
+    merged = how.merge(batch.unionByName(stored), [*keys, "part"]).persist()
+    write_generation(merged, folder, parts, batch_id)
+    return merged
+
+
+def publish(table: DataFrame, folder: str, parts: Sequence[str]) -> None:
+    """Replace the parts of a summary table; those without rows go."""
+    spark = table.sparkSession
+    kept = table.persist()
+    try:
+        overwrite_partitions(kept, folder, ["part"])
+        left = {str(r["part"]) for r in kept.select("part").distinct().collect()}
+    finally:
+        kept.unpersist()
+    for part in set(parts) - left:
+        remove(spark, f"{folder}/part={part}")
+
+
+def months_around(months: Sequence[date]) -> list[date]:
+    return sorted({m for d in months for m in (prior_month(d), d, next_month(d))})
+
+
+def prior_month(day: date) -> date:
+    return (day.replace(day=1) - timedelta(days=1)).replace(day=1)
+
+
+def next_month(day: date) -> date:
+    return (day.replace(day=1) + timedelta(days=31)).replace(day=1)
+
+
+def refresh_parts(batch: DataFrame, batch_id: int, folder: str, how=Refresh) -> None:
+    """Bring the three tables up to date with one batch of unique clean rows.
+
+    The tables are replaced one after the other: a reader in between sees the newest batch in some.
     """
     spark = batch.sparkSession
-    batch = merge_partials(batch, [*keys, "part"])
-    parts = batch.select("part").distinct()
-    found: list[tuple] = []
-    if exists(spark, folder):
-        stored = read_partials(spark, folder, parts, batch_id)
-        found = [(r["part"], r["upto"]) for r in stored.select("part", "upto").distinct().collect()]
-        batch = batch.unionByName(latest_generation(stored).select(batch.columns))
-    merged = merge_partials(batch, [*keys, "part"]).withColumn("upto", F.lit(batch_id))
-    overwrite_partitions(merged, folder, ["part", "upto"])
-    latest = dict(sorted(found, key=lambda x: x[1]))
-    for part, upto in found:
-        if upto < latest[part]:
-            remove(spark, f"{folder}/part={part}/upto={upto}")
-    return parts
-
-
-def refresh_parts(batch: DataFrame, batch_id: int, folder: str) -> None:
-    """Bring the three tables up to date with one batch of unique clean rows."""
-    spark = batch.sparkSession
-    kept = finest_partials(batch).persist()
+    kept = how.make(batch).withColumns(
+        {"travel_part": part_of("travel_date"), "time_part": part_of("bucket_start")}
+    ).persist()
+    touched = kept.select("travel_part", "time_part").distinct().collect()
+    travel = sorted({str(r["travel_part"]) for r in touched})
+    times = sorted({r["time_part"] for r in touched})
+    cached = [kept]
     try:
-        by_travel = kept.withColumn("part", part_of("travel_date"))
-        parts = merge_into_parts(by_travel, CARRIER_KEYS, f"{folder}/partials/travel", batch_id)
-        partials = latest_generation(read_partials(spark, f"{folder}/partials/travel", parts, batch_id + 1))
-        carriers = partials.persist()
+        by_travel = kept.withColumnRenamed("travel_part", "part").drop("time_part")
+        merged = merge_into_parts(by_travel, CARRIER_KEYS, travel, f"{folder}/partials/travel", batch_id, how)
+        cached.append(merged)
         for name, keys in (("route_price_analytics", ROUTE_KEYS), ("airline_price_analytics", CARRIER_KEYS)):
-            table = finish_partials(merge_partials(carriers, keys), keys)
-            overwrite_partitions(table.withColumn("part", part_of("travel_date")), f"{folder}/{name}", ["part"])
-        carriers.unpersist()
+            partials = merge_partials(how.partials(merged, [*CARRIER_KEYS, "part"]), [*keys, "part"])
+            publish(finish_partials(partials, [*keys, "part"]), f"{folder}/{name}", travel)
 
         window_keys = (*WINDOW_KEYS, "bucket_start")
-        by_time = kept.withColumn("part", part_of("bucket_start"))
-        merge_into_parts(by_time, window_keys, f"{folder}/partials/time", batch_id)
+        by_time = kept.withColumnRenamed("time_part", "part").drop("travel_part")
+        names = [str(t) for t in times]
+        merged = merge_into_parts(by_time, window_keys, names, f"{folder}/partials/time", batch_id, how)
+        cached.append(merged)
         # The windows of a bucket may start in the part before its own, and may end in the one after.
-        early = F.col("bucket_start") - F.expr(f"interval {WINDOW_SIZE_SECONDS} seconds")
-        starts = kept.select(F.explode(F.array(part_of(early), part_of("bucket_start"))).alias("part")).distinct()
-        next_part = F.add_months("part", 1)
-        around = starts.select(F.explode(F.array("part", next_part)).alias("part")).distinct()
-        partials = latest_generation(read_partials(spark, f"{folder}/partials/time", around, batch_id + 1))
+        starts = sorted({str(m) for t in times for m in (prior_month(t), t)})
+        beside = sorted({str(m) for m in months_around(times)} - set(names))
+        others = read_generation(spark, f"{folder}/partials/time", merged.schema, beside, batch_id + 1)
+        partials = how.partials(merged.unionByName(others), [*window_keys, "part"])
         table = finish_partials(window_partials(partials, WINDOW_KEYS), WINDOW_COLUMNS, count="price_observations")
-        table = table.withColumn("part", part_of("window_start")).join(starts, "part", "left_semi")
-        overwrite_partitions(table, f"{folder}/price_window_analytics", ["part"])
+        table = table.withColumn("part", part_of("window_start"))
+        publish(table.filter(F.col("part").cast("string").isin(starts)), f"{folder}/price_window_analytics", starts)
     finally:
-        kept.unpersist()
+        for df in cached:
+            df.unpersist()
 
 
 def refresh_gold(clean: DataFrame, folder: str, fmt: str = "parquet") -> bool:

@@ -3,6 +3,8 @@
 Dirty rows are made from the row's own keys, so a second engine can make the same ones.
 """
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from fareflow.constants import AIRPORT_CODES, CITIES
@@ -10,7 +12,7 @@ from fareflow.functions import free_text_key
 from fareflow.schemas import STRING, struct
 from fareflow.sinks.tables import append_table
 from fareflow.sources.tables import read_table, spread
-from fareflow.workspace import new_folder
+from fareflow.workspace import children, new_folder, remove
 
 RAW_CARRIERS = ("Vistara", "Air_India", "Indigo", "GO_FIRST", "AirAsia", "SpiceJet")
 DAY_PARTS = ("Early_Morning", "Morning", "Afternoon", "Evening", "Night", "Late_Night")
@@ -173,21 +175,37 @@ def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.readStream.schema(schema).parquet(f"{sf_dir}/event[s].parquet")
 
 
-def events_in_parts(spark: SparkSession, sf_dir: str, parts: int = 3) -> DataFrame:
-    """The events as a stream of ``parts`` micro-batches in time order.
+def in_turns(
+    rows: DataFrame, time: str, run: Callable[[DataFrame], object], parts: int = 3, label: str = "turns"
+) -> None:
+    """Run a stream job once for each of ``parts`` equal spans of time, in order.
 
-    The table is split at equal times and written as one file per part, one after the other.
+    All tasks write a span; the job, which resumes from its checkpoint, takes it as one micro-batch.
     """
-    events = table(spark, sf_dir, "events")
-    first, last = events.agg(F.min("ts"), F.max("ts")).first()
-    folder = new_folder(spark, "events")
+    spark = rows.sparkSession
+    first, last = rows.agg(F.min(time), F.max(time)).first()
+    folder = new_folder(spark, label)
     for n in range(parts):
         low, high = first + (last - first) / parts * n, first + (last - first) / parts * (n + 1)
-        chosen = events.filter(F.col("ts") >= F.lit(low) if n else F.lit(True))
+        chosen = rows.filter(F.col(time) >= F.lit(low) if n else F.lit(True))
         if n < parts - 1:
-            chosen = chosen.filter(F.col("ts") < F.lit(high))
-        append_table(chosen.coalesce(1), folder)
-    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+            chosen = chosen.filter(F.col(time) < F.lit(high))
+        append_table(chosen, folder)
+        run(spark.readStream.schema(rows.schema).parquet(folder))
+
+
+def forget_last_batch(spark: SparkSession, checkpoint: str, ends_empty: bool = False) -> None:
+    """Make the next run replay the last batch, as after a crash before its commit.
+
+    A job with a watermark ends with a batch without rows (``ends_empty``), which is forgotten first.
+    """
+    last = max(int(n) for n in children(spark, f"{checkpoint}/commits") if n.isdigit())
+    gone = [("commits", last)]
+    if ends_empty:
+        gone += [("offsets", last), ("commits", last - 1)]
+    for kind, n in gone:
+        remove(spark, f"{checkpoint}/{kind}/{n}")
+        remove(spark, f"{checkpoint}/{kind}/.{n}.crc")
 
 
 def quotes_of(clean: DataFrame) -> DataFrame:

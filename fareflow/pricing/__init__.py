@@ -6,6 +6,7 @@ from fareflow.pricing.models import (
     fit_models,
     leaderboard,
     load_model,
+    one_split_tree,
     price_regressors,
     regression_metrics,
     save_model,
@@ -19,6 +20,7 @@ __all__ = [
     "label_index",
     "leaderboard",
     "load_model",
+    "one_split_tree",
     "price_regressors",
     "regression_metrics",
     "save_model",

@@ -1,7 +1,15 @@
 """Structured Streaming forms of the live jobs."""
 
 from fareflow.streaming.dedup import LateRows, count_late_rows, drop_repeats
-from fareflow.streaming.jobs import ingest_log, refresh_gold_stream, run_clean, run_windows
+from fareflow.streaming.jobs import (
+    ingest_log,
+    read_windows,
+    refresh_gold_stream,
+    run_clean,
+    run_open_windows,
+    run_quarantine,
+    run_windows,
+)
 from fareflow.streaming.windows import stream_windows
 
 __all__ = [
@@ -9,8 +17,11 @@ __all__ = [
     "count_late_rows",
     "drop_repeats",
     "ingest_log",
+    "read_windows",
     "refresh_gold_stream",
     "run_clean",
+    "run_open_windows",
+    "run_quarantine",
     "run_windows",
     "stream_windows",
 ]

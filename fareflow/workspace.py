@@ -62,6 +62,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(hadoop)
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if it is not there."""
+    hadoop, files = _files(spark, path)
+    return [f.getPath().getName() for f in files.listStatus(hadoop)] if files.exists(hadoop) else []
+
+
 def remove(spark: SparkSession, path: str) -> None:
     hadoop, files = _files(spark, path)
     files.delete(hadoop, True)

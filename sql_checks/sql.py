@@ -424,6 +424,35 @@ ORACLE_SQL["stream_windows_closed"] = with_(
 from_live("stream_gold_refresh", CARRIERS)
 from_live("stream_gold_routes", ROUTES)
 from_live("stream_gold_windows", sliding("uniq"))
+from_live("stream_open_windows", sliding("uniq"))
+REMAINING = "(SELECT * FROM uniq WHERE CAST(event_id AS BIGINT) % 7 <> 0)"
+from_live("stream_gold_withdrawn", CARRIERS.replace("FROM uniq", f"FROM {REMAINING}"))
+from_live("stream_windows_withdrawn", sliding(REMAINING))
+ALL_RULES = " AND ".join(f"coalesce({r}, false)" for r in RULES.values())
+ORACLE_SQL["stream_quarantine"] = with_(
+    SENT,
+    PAYLOAD,
+    SHAPED,
+    select=f"""SELECT 'rows' AS name, count(*) AS counted_rows, CAST(NULL AS BIGINT) AS stored_rows FROM shaped
+      UNION ALL SELECT 'kept rows', count(*) FILTER ({ALL_RULES}), count(*) FILTER ({ALL_RULES}) FROM shaped
+      UNION ALL SELECT 'rejected rows', NULL, count(*) FILTER (NOT ({ALL_RULES})) FROM shaped
+      UNION ALL SELECT * FROM ("""
+    + " UNION ALL ".join(
+        f"SELECT '{n}' AS name, count(*) AS n, count(*) AS m FROM shaped WHERE NOT coalesce({r}, false)"
+        for n, r in RULES.items()
+    )
+    + ") WHERE n > 0",
+)
+MONTH = "CAST(date_trunc('month', travel_date) AS DATE)"
+from_live(
+    "distinct_by_month",
+    " UNION ALL ".join(
+        f"SELECT {month} AS month, '{metric}' AS metric, count(DISTINCT {column}) AS distinct_values, "
+        f"true AS within_3_percent FROM uniq GROUP BY 1"
+        for month in (MONTH, "CAST(NULL AS DATE)")
+        for metric, column in (("routes", "route"), ("airlines", "airline"), ("events", "event_id"))
+    ),
+)
 ORACLE_SQL["stream_clean_resumed"] = ORACLE_SQL["live_clean"]
 ORACLE_SQL["stream_late_rows"] = with_(
     *LIVE,
@@ -702,6 +731,22 @@ history(
        round(regr_intercept(price, days_left), 4) AS intercept FROM silver WHERE price > 0""",
 )
 
+# The split of the one days threshold that leaves least variance, and the mean price on either side.
+ORACLE_SQL["tree_split_scores"] = with_(
+    RAW,
+    SILVER,
+    """known AS (SELECT days_left, CAST(price AS DOUBLE) AS price FROM silver WHERE price > 0 AND days_left IS NOT NULL),
+sides AS (
+  SELECT t.days_left AS upto, sum(price) FILTER (k.days_left <= t.days_left) AS low_sum,
+         count(*) FILTER (k.days_left <= t.days_left) AS low_n, sum(price) AS all_sum, count(*) AS all_n
+  FROM known k, (SELECT DISTINCT days_left FROM known) t GROUP BY 1),
+best AS (
+  SELECT upto FROM sides WHERE low_n < all_n
+  ORDER BY low_sum * low_sum / low_n + (all_sum - low_sum) * (all_sum - low_sum) / (all_n - low_n) DESC, upto LIMIT 1)""",
+    select="""SELECT round(avg(price), 4) AS prediction, min(days_left) AS from_days, max(days_left) AS to_days,
+      count(*) AS rows FROM known, best GROUP BY days_left <= upto""",
+)
+
 # Stored tables
 
 ORACLE_SQL["delimited_round_trip"] = "SELECT s_suppkey, s_name, s_nationkey FROM supplier"

@@ -20,7 +20,6 @@ them; empty input gives empty output. Columns besides ``doc_id`` and ``text`` ar
 import hashlib
 import json
 import os
-import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from itertools import chain
@@ -28,7 +27,6 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-import regex
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,14 +38,6 @@ from fareflow.workspace import settle
 BYTE_LEVEL = "/opt/tokenizers/byte_bpe_50k.json"
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 FILE_BYTES = 32 << 20
-#: Fixed value: the pattern that splits text for the byte-level vocabulary.
-SPLIT = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
-#: A stretch of text with the spaces before it.
-WORDS = re.compile(" +[^ ]*")
-#: Characters that all tables class alike: ASCII but for controls, and the letters of the Latin, Greek and Cyrillic
-#: blocks. Texts with others are encoded whole.
-PLAIN = re.compile(r"[\t\n\r\x20-\x7EÀ-ÖØ-öø-ıΑ-ΡΣ-ώА-я]*+")
-CACHE = 400_000
 #: Bytes of text in one block-diagonal matrix (a longer text is one of its own).
 BLOCK = 1 << 20
 #: Id pairs that are sent to all tasks, at most: 24 bytes each.
@@ -65,53 +55,21 @@ def byte_letters() -> dict[str, int]:
 
 
 class Coder:
-    """A tokenizer and the bytes of each of its ids.
+    """A tokenizer: ``encode`` gives the ids of each text, with a space before it; ``spelled`` the bytes of each id."""
 
-    ``encode`` gives the ids of each text. ``stretches`` cuts a text, with the space before it, into stretches that the
-    tokenizer encodes by themselves, or gives None where that is not certain; ids of stretches are kept.
-    """
-
-    def __init__(self, encode, spelled: list[bytes], stretches):
-        self.encode, self.spelled, self.stretches = encode, spelled, stretches
+    def __init__(self, encode, spelled: list[bytes]):
+        self.encode, self.spelled = encode, spelled
         self.lengths = np.array([len(b) for b in spelled], dtype=np.int64)
         #: The ids in decimal, followed by nothing, a comma, a bar or a semicolon.
         self.numbers = [tuple(f"{i}{end}" for i in range(len(spelled))) for end in ("", ",", "|", ";")]
-        self.known: dict[str, tuple[int, ...]] = {}
-        self.bad: set[str] = set()
-
-    def spells(self, ids: Sequence[int], text: str) -> bool:
-        return b"".join(map(self.spelled.__getitem__, ids)) == text.encode()
-
-    def learn(self, stretches: set[str]) -> None:
-        if len(self.known) + len(stretches) > CACHE:
-            self.known.clear()
-            self.bad.clear()
-        new = [s for s in stretches if s not in self.known]
-        for stretch, ids in zip(new, self.encode(new)):
-            self.known[stretch] = tuple(ids)
-            if not self.spells(ids, stretch):
-                self.bad.add(stretch)
 
     def tokens(self, texts: list[str]) -> list[Sequence[int] | None]:
-        """The ids of the texts, each with the space before it; None where they do not spell it again."""
-        cut = [self.stretches(t) for t in texts]
-        asked = set().union(*(part for part in cut if part))
-        if not asked <= self.known.keys():
-            self.learn(asked)
-        out: list[Sequence[int] | None] = []
-        for text, part in zip(texts, cut):
-            if part is None:
-                (ids,) = self.encode([text])
-                out.append(ids if self.spells(ids, text) else None)
-            elif self.bad and not self.bad.isdisjoint(part):
-                out.append(None)
-            else:
-                out.append(list(chain.from_iterable(map(self.known.__getitem__, part))))
-        return out
+        """The ids of the texts; None where they do not spell it again."""
+        spell = self.spelled.__getitem__
+        return [i if b"".join(map(spell, i)) == b" " + t.encode() else None for t, i in zip(texts, self.encode(texts))]
 
 
 def byte_level_coder(content: bytes) -> Coder:
-    """Texts of characters whose class no two tables disagree on are cut as the tokenizer itself cuts them."""
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs as many tasks as there are cores
     tokenizer = Tokenizer.from_str(content.decode())
     tokenizer.encode_special_tokens = True
@@ -123,29 +81,20 @@ def byte_level_coder(content: bytes) -> Coder:
         spelled[i] = spelled[i] or token.content.encode()
 
     def encode(texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [e.ids for e in tokenizer.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
 
-    return Coder(encode, spelled, lambda text: SPLIT.findall(text) if PLAIN.fullmatch(text) else None)
+    return Coder(encode, spelled)
 
 
 def piece_coder(content: bytes) -> Coder:
-    """Its model puts a space before what it encodes, so stretches go to it without theirs.
-
-    No piece has a space after another character, so a text can be cut before spaces.
-    """
+    """Its model puts the space before the text."""
     model = sentencepiece.SentencePieceProcessor(model_proto=content)
 
     def spell(i: int) -> bytes:
         piece = model.id_to_piece(i)
         return bytes([int(piece[1:-1], 16)]) if model.is_byte(i) else piece.replace("▁", " ").encode()
 
-    apart = not any("▁" in model.id_to_piece(i).lstrip("▁") for i in range(model.vocab_size()))
-
-    def encode(texts: list[str]) -> list[list[int]]:
-        return model.encode([t[1:] for t in texts], num_threads=1)
-
-    cut = lambda text: WORDS.findall(text) if apart and PLAIN.fullmatch(text) else None
-    return Coder(encode, [spell(i) for i in range(model.vocab_size())], cut)
+    return Coder(lambda texts: model.encode(texts, num_threads=1), [spell(i) for i in range(model.vocab_size())])
 
 
 def read_file(path: str) -> bytes:
@@ -280,7 +229,7 @@ def flat(ids: list[Sequence[int]]) -> tuple[np.ndarray, np.ndarray]:
 
 def align(texts: list[str | None], a: Coder, b: Coder) -> Aligned:
     """The tokens of the texts, their overlaps and groups; a text that is not spelled again has none."""
-    written = [" " + t if t else "" for t in texts]
+    written = [t or "" for t in texts]
     ids_a, ids_b = a.tokens(written), b.tokens(written)
     for k, text in enumerate(written):
         if not text or ids_a[k] is None or ids_b[k] is None:

@@ -7,11 +7,10 @@ probabilities; languages that do not use the word's script are no candidates. Th
 ``SWITCH`` for every change of language. A document's language is the one with most letters.
 
 Rows: a null text, or one without letters, is ``und`` with score 0; without anything to learn
-from every document is; repeated rows are handled one by one; ties go to the smaller name; empty
+from every document is; very long texts are labelled whole; repeated rows are handled one by one; ties go to the smaller name; empty
 input gives empty output. Columns besides ``doc_id``, ``text`` and (to learn) ``lang`` are ignored.
 """
 
-import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
@@ -157,6 +156,29 @@ def best_paths(scores: np.ndarray, starts: np.ndarray, ends: np.ndarray, switch:
     return path
 
 
+def sure_paths(scores: np.ndarray, of: np.ndarray, switch: float = SWITCH) -> np.ndarray:
+    """The best path of every document, searched in stretches between words that are sure.
+
+    A word whose language leads all others by more than two changes has that language on every best
+    path: another one there could be replaced at the cost of two changes at most. So the paths
+    before and after it are independent, and a very long text is many short searches side by side.
+    """
+    if scores.shape[1] < 2:
+        return np.zeros(len(scores), dtype=np.int64)
+    two = np.partition(scores, -2, axis=1)[:, -2:]
+    sure = two[:, 1] - two[:, 0] > 2 * switch
+    at = np.flatnonzero(sure)
+    pinned = scores.copy()
+    best = scores[at].argmax(axis=1)
+    pinned[at] = -1e9
+    pinned[at, best] = scores[at, best]
+    starts = np.union1d(of[:-1][of[:-1] < of[1:]], at)
+    doc_end = of[1:][np.searchsorted(of, starts, side="right") - 1]
+    after = np.r_[starts[1:], len(scores)]
+    # a stretch ends with the sure word that the next one begins with
+    return best_paths(pinned, starts, np.where(after < doc_end, after + 1, doc_end), switch)
+
+
 def label(texts: list[str], model: LanguageModel, switch: float = SWITCH):
     """Per text: spans (start, end, language number) in code points, and letters per language."""
     letters, starts = letters_of(texts)
@@ -172,7 +194,7 @@ def label(texts: list[str], model: LanguageModel, switch: float = SWITCH):
     scores = np.add.reduceat(model.scores[trigram_cells(letters)[at]], words, axis=0)
     scores[~model.uses[script_of(letters[begin])]] = -1e9
     of = np.searchsorted(begin, starts)
-    path = best_paths(scores, of[:-1], of[1:], switch)
+    path = sure_paths(scores, of, switch)
     doc = np.repeat(np.arange(len(texts)), np.diff(of))
     letter_total += np.bincount(doc * n + path, weights=end - begin, minlength=letter_total.size).astype(np.int64).reshape(-1, n)
     return begin, end, path, of, letter_total

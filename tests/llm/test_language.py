@@ -24,6 +24,28 @@ def test_best_paths_equal_all_paths():
                 assert value(path[a:b]) == pytest.approx(max(map(value, product(range(3), repeat=int(b - a)))), abs=1e-3)
 
 
+def test_paths_between_sure_words_are_best():
+    rng = np.random.default_rng(1)
+    for _ in range(200):
+        lengths = rng.integers(0, 40, size=rng.integers(1, 6))
+        scores = (rng.normal(size=(int(lengths.sum()), 3)) * rng.choice([2, 6])).astype(np.float32)
+        of = np.r_[0, np.cumsum(lengths)]
+        whole, cut = language.best_paths(scores, of[:-1], of[1:], 2.0), language.sure_paths(scores, of, 2.0)
+        for a, b in zip(of[:-1], of[1:]):
+            value = lambda p: scores[np.arange(a, b), p[a:b]].sum() - 2.0 * (np.diff(p[a:b]) != 0).sum()  # noqa: E731,B023
+            assert value(cut) == pytest.approx(value(whole), abs=1e-3)
+
+
+def test_a_million_words(model):
+    import time
+
+    text = f"{EN} {DE} {RU} " * 50_000
+    start = time.perf_counter()
+    _, _, path, _, letters = language.label([text], model)
+    assert len(path) == 50_000 * len(f"{EN} {DE} {RU}".split()) and letters.sum() > 10**6
+    assert time.perf_counter() - start < 20
+
+
 EN, DE, RU = "the thing and that with other them", "der schöne ist nicht einer für auch", "это что как все они был"
 
 

@@ -49,7 +49,7 @@ from fareflow.sources import (
     stream_table,
     union_parts,
 )
-from fareflow.workspace import new_folder, settle
+from fareflow.workspace import new_folder, remove, settle
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -627,6 +627,20 @@ def stream_dedup_global(spark, sf_dir):
     return rows.select("event_id", "route", "price")
 
 
+@query
+def stream_dedup_retained(spark, sf_dir):
+    # Keys live for 40 days after their event, on disk; three batches with copies of events among them.
+    folder = new_folder(spark, "retained")
+
+    def run(rows):
+        unique = streaming.drop_repeats(live.clean_live(rows), ["event_id"], delay="40 days")
+        run_to_end(append_stream(unique, f"{folder}/rows", f"{folder}/checkpoint"))
+
+    with streaming.state_on_disk(spark):
+        payload_in_turns(spark, sf_dir, run)
+    return spark.read.parquet(f"{folder}/rows").select("event_id", "route", "price")
+
+
 def payload_in_turns(spark: SparkSession, sf_dir: str, run: Callable[[DataFrame], object]) -> None:
     """Three runs of a job over a growing table of the events, in time order."""
     testbed.in_turns(testbed.table(spark, sf_dir, "events"), "ts", lambda rows: run(testbed.live_rows(rows)))
@@ -907,6 +921,22 @@ def guarded_writes(spark, sf_dir):
     return union_parts(counts)
 
 
+@query
+def log_in_steps(spark, sf_dir):
+    # Bounded steps, the second one cut short before its offsets were stored: every offset is read once.
+    folder = new_folder(spark, "steps")
+    append_table(testbed.live_log(testbed.table(spark, sf_dir, "events")), f"{folder}/log")
+    log = read_table(spark, f"{folder}/log")
+    span = log.agg(F.max("offset") - F.min("offset")).first()[0]
+    steps = 0
+    while streaming.follow_log(log, f"{folder}/out", span // 3 + 1):
+        steps += 1
+        if steps == 2:
+            remove(spark, f"{folder}/out/offsets/step=1")
+    rows = spark.read.parquet(f"{folder}/out/rows")
+    return rows.groupBy("topic", "partition", "offset").agg(F.count(F.lit(1)).alias("times"))
+
+
 @query
 def log_tail(spark, sf_dir):
     # The message log stored as a table and tailed as a stream.

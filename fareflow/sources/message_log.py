@@ -55,6 +55,23 @@ def read_from_offsets(log: DataFrame, offsets: DataFrame) -> DataFrame:
     return log.join(saved, ["topic", "partition"], "left").filter(unread).drop("next_offset")
 
 
+def next_chunk(log: DataFrame, offsets: DataFrame | None, limit: int) -> DataFrame:
+    """Of each topic partition the unread rows of the next ``limit`` offsets.
+
+    They count from the first unread offset that there is, so gaps in the numbers do no harm. The least saved
+    offset is a filter that reaches the scan.
+    """
+    if offsets is not None:
+        least = offsets.agg(F.min("next_offset")).first()[0]
+        known = offsets.select("topic", "partition").distinct().count()
+        if known == log.select("topic", "partition").distinct().count():
+            log = log.filter(F.col("offset") >= F.lit(least))
+        log = read_from_offsets(log, offsets)
+    first = log.groupBy("topic", "partition").agg(F.min("offset").alias("first_offset"))
+    near = log.join(first, ["topic", "partition"]).filter(F.col("offset") < F.col("first_offset") + limit)
+    return near.drop("first_offset")
+
+
 def next_offsets(log: DataFrame) -> DataFrame:
     """Exclusive next offset per topic partition of the rows just read."""
     return log.groupBy("topic", "partition").agg((F.max("offset") + 1).alias("next_offset"))

@@ -1,7 +1,8 @@
 """Structured Streaming forms of the live jobs."""
 
-from fareflow.streaming.dedup import LateRows, count_late_rows, drop_repeats
+from fareflow.streaming.dedup import LateRows, count_late_rows, drop_repeats, state_on_disk
 from fareflow.streaming.jobs import (
+    follow_log,
     ingest_log,
     read_windows,
     refresh_gold_stream,
@@ -16,6 +17,7 @@ __all__ = [
     "LateRows",
     "count_late_rows",
     "drop_repeats",
+    "follow_log",
     "ingest_log",
     "read_windows",
     "refresh_gold_stream",
@@ -23,5 +25,6 @@ __all__ = [
     "run_open_windows",
     "run_quarantine",
     "run_windows",
+    "state_on_disk",
     "stream_windows",
 ]

@@ -1,13 +1,16 @@
 """Streaming duplicate removal."""
 
 import threading
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from fareflow.constants import OFFER_KEYS, WATERMARK
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def drop_repeats(
     clean: DataFrame,
@@ -20,7 +23,8 @@ def drop_repeats(
 
     ``bounded`` forgets a key once the watermark has passed it, so state stays small and a
     repeat that comes later than ``delay`` is let through. ``global`` remembers every key
-    for ever and needs no watermark, so no row is late.
+    for ever and needs no watermark, so no row is late. A long ``delay`` is a retention: keys
+    live that long after their event time, and start the job under ``state_on_disk``.
     """
     if mode == "bounded":
         return clean.withWatermark(time, delay).dropDuplicatesWithinWatermark(list(keys))
@@ -29,6 +33,24 @@ def drop_repeats(
     raise ValueError(f"mode is bounded or global, not {mode!r}")
 
 
+@contextmanager
+def state_on_disk(spark: SparkSession) -> Iterator[None]:
+    """Jobs started inside keep their state in RocksDB, on disk, instead of in the executors' heap.
+
+    A checkpoint stays with the store that it was made with.
+    """
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, ROCKSDB)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 class LateRows(StreamingQueryListener):
     """Adds up, per run, the rows that stateful operators dropped for being older than the watermark.
 

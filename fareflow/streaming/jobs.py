@@ -15,9 +15,11 @@ from fareflow.plans.live import clean_live, shape_live
 from fareflow.sinks.generations import read_table_of_generations, upsert
 from fareflow.sinks.streams import append_stream, each_batch, run_to_end
 from fareflow.sinks.tables import overwrite_table
-from fareflow.sources.message_log import decode_payload
+from fareflow.sources.message_log import decode_payload, merge_offsets, next_chunk, next_offsets
+from fareflow.sources.tables import read_table
 from fareflow.streaming.dedup import drop_repeats
 from fareflow.streaming.windows import stream_windows
+from fareflow.workspace import children, remove
 
 
 def ingest_log(log: DataFrame, folder: str) -> StreamingQuery:
@@ -29,6 +31,27 @@ def ingest_log(log: DataFrame, folder: str) -> StreamingQuery:
     return run_to_end(each_batch(decode_payload(log), store, f"{folder}/checkpoint"))
 
 
+def follow_log(log: DataFrame, folder: str, limit: int) -> bool:
+    """One bounded step over a stored log: the next ``limit`` offsets of every partition.
+
+    Rows and the offsets after them are stored per step; the offsets come last, so a step that was cut
+    short is done again and replaces its rows. Says whether there was anything to read.
+    """
+    spark = log.sparkSession
+    steps = [int(n.removeprefix("step=")) for n in children(spark, f"{folder}/offsets") if n.startswith("step=")]
+    step = max(steps, default=-1) + 1
+    saved = read_table(spark, f"{folder}/offsets/step={step - 1}") if step else None
+    rows = f"{folder}/rows/step={step}"
+    overwrite_table(next_chunk(log, saved, limit), rows)
+    taken = read_table(spark, rows)
+    if taken.isEmpty():
+        remove(spark, rows)
+        return False
+    after = next_offsets(taken)
+    overwrite_table(after if saved is None else merge_offsets(saved, after), f"{folder}/offsets/step={step}")
+    return True
+
+
 def run_clean(payload: DataFrame, folder: str) -> StreamingQuery:
     """Payload stream to the clean table."""
     writer = append_stream(clean_live(payload), f"{folder}/rows", f"{folder}/checkpoint")

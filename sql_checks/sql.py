@@ -355,7 +355,7 @@ ORACLE_SQL["live_flagged_rows"] = with_(
     + ") AS failed_rules, count(*) AS rows FROM shaped GROUP BY ALL",
 )
 from_live("live_dedup", "SELECT * FROM uniq")
-for key in ("live_dedup_any", "stream_dedup_events", "stream_dedup_global"):
+for key in ("live_dedup_any", "stream_dedup_events", "stream_dedup_global", "stream_dedup_retained"):
     from_live(key, "SELECT event_id, route, price FROM uniq")
 ORACLE_SQL["stream_dedup_offers"] = with_(
     *LIVE,
@@ -754,6 +754,9 @@ ORACLE_SQL["overwrite_then_append"] = """SELECT s_suppkey,
   CASE WHEN s_suppkey % 2 = 0 THEN s_name ELSE upper(s_name) END AS s_name FROM supplier"""
 ORACLE_SQL["guarded_writes"] = """SELECT 'none' AS "table", false AS written, CAST(0 AS BIGINT) AS rows
   UNION ALL SELECT 'all', true, count(*) FROM supplier"""
+ORACLE_SQL["log_in_steps"] = with_(
+    SENT, LOG, select='SELECT topic, partition, "offset", count(*) AS times FROM log GROUP BY ALL'
+)
 ORACLE_SQL["log_tail"] = with_(SENT, LOG, select='SELECT topic, partition, "offset" FROM log')
 ORACLE_SQL["airport_rows"] = with_(
     RAW,

@@ -77,7 +77,7 @@ def read_gold(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return read_table(spark, f"{folder}/{name}").drop("part")
 
 
-def add_up(partials: DataFrame, keys: Sequence[str]) -> DataFrame:
+def as_they_are(partials: DataFrame, keys: Sequence[str]) -> DataFrame:
     return partials
 
 
@@ -86,7 +86,7 @@ class Refresh:
 
     make = staticmethod(finest_partials)
     merge = staticmethod(merge_partials)
-    partials = staticmethod(add_up)
+    partials = staticmethod(as_they_are)
 
 
 def price_counts(rows: DataFrame) -> DataFrame:

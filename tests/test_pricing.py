@@ -43,6 +43,22 @@ def test_leaderboard_is_ranked_by_rmse(fitted):
     assert board[0].r2 > 0.9
 
 
+def test_a_large_table_in_one_part_is_trained_on_by_many_tasks(rows, monkeypatch):
+    parts = {}
+
+    class Watched(pricing.models.LinearRegression):
+        def _fit(self, dataset):
+            parts[len(parts)] = dataset.rdd.getNumPartitions()
+            return super()._fit(dataset)
+
+    regressors = {"LinearRegression": Watched(labelCol="price")}
+    alone = pricing.fit_models(rows.coalesce(1), regressors)[1].first()
+    monkeypatch.setattr(pricing.models, "TASK_ROWS", 100)
+    dealt = pricing.fit_models(rows.coalesce(1), regressors)[1].first()
+    assert parts == {0: 1, 1: 6}
+    assert dealt.rmse == pytest.approx(alone.rmse, rel=1e-6)
+
+
 def test_metrics_equal_the_evaluator(fitted, rows):
     scored = pricing.score(fitted[0]["LinearRegression"], rows.dropna())
     ours = pricing.regression_metrics(scored).first()

@@ -369,7 +369,7 @@ def median_by_route(spark, sf_dir):
 @query
 def distinct_by_month(spark, sf_dir):
     # Sketches of two halves of the rows, stored per month of travel and united, beside exact counts.
-    rows = unique_live(spark, sf_dir)
+    rows = settle(unique_live(spark, sf_dir).select("event_id", "travel_date", "route", "airline"), "unique")
     metrics = {"routes": F.col("route"), "airlines": F.col("airline"), "events": F.col("event_id")}
     month = F.trunc("travel_date", "month").alias("month")
     folder = new_folder(spark, "sketches")

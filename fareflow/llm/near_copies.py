@@ -8,6 +8,8 @@
    rest within ``DISTANCE`` bits are candidates, of which each fingerprint keeps two per batch of buckets.
 3. Candidates are compared by the sets of their shingles, of whole texts; those of a similarity of 0.8
    or more are links, and groups are what links connect.
+4. Where buckets had more candidates than were kept, more fingerprints than are compared at once, or several
+   classes of one fingerprint, all their pairs that are not in one group by now are compared too.
 
 Rows: null texts and texts without words are one class; texts of fewer than five words have their
 sequence of words as only shingle; very long texts are handled whole, one at a time; repeated rows and
@@ -36,8 +38,10 @@ DISTANCE = 13
 AIM, FOUND = 10, 0.97
 #: A bucket has 2^-SPARE of a fingerprint's share, on average 2^SPARE fingerprints.
 SPARE = 3
-#: Fingerprints of a bucket that are compared at once; later ones meet the first of the bucket too.
+#: Fingerprints of a bucket that are compared at once; later ones meet the first of the bucket too, and all others later.
 BUCKET = 20_000
+#: Classes of a bucket that are compared at once with as many others.
+PART = 2048
 #: Tasks that the partners of one class are dealt to.
 SALTS = 16
 
@@ -113,7 +117,10 @@ def bit_sets(n: int) -> np.ndarray:
 
 
 def candidates(marks: DataFrame, distance: int = DISTANCE, bucket: int = BUCKET) -> DataFrame:
-    """Pairs (a, b) of distinct fingerprints within the distance that met in a bucket."""
+    """Pairs (a, b) of distinct fingerprints within the distance that met in a bucket, some of many.
+
+    Rows with ``bucket`` and without ``b`` are the fingerprints of buckets that may have had more pairs.
+    """
     masks, references = bit_sets(marks.count()), pivots(PIVOTS)
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -128,15 +135,29 @@ def candidates(marks: DataFrame, distance: int = DISTANCE, bucket: int = BUCKET)
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Batches come sorted by bucket; a bucket that a batch cuts is carried to the next, or its first one is."""
 
-        def found(keys: np.ndarray, own: np.ndarray) -> Iterator[pa.RecordBatch]:
+        def found(now: tuple[np.ndarray, ...], cut: tuple[int, int] | None) -> Iterator[pa.RecordBatch]:
+            number, bits, own = now
+            keys = np.cumsum(np.r_[True, (number[1:] != number[:-1]) | (bits[1:] != bits[:-1])]) - 1
             parts = [(a, b) for a, b in links_in(keys, own, references, distance) if len(a)]
+            held = np.zeros(len(own), dtype=bool) if cut is None else (number == cut[0]) & (bits == cut[1])
             if parts:
                 a, b = (np.concatenate(x) for x in zip(*parts))
+                met = np.isin(own, np.union1d(a, b))
+                held |= met & (np.bincount(keys[met], minlength=keys[-1] + 1) > 2)[keys]
                 low, high = np.minimum(a, b), np.maximum(a, b)
                 low, high = few_links(low, high)
-                yield pa.RecordBatch.from_arrays([pa.array(low.view(np.int64)), pa.array(high.view(np.int64))], names=["a", "b"])
+                yield batch_of(low, high.view(np.int64), None)
+            if held.any():
+                with np.errstate(over="ignore"):
+                    bucket = (bits[held] * np.int64(-7046029254386353131)) ^ number[held]
+                yield batch_of(own[held], None, bucket)
+
+        def batch_of(a: np.ndarray, b: np.ndarray | None, bucket: np.ndarray | None) -> pa.RecordBatch:
+            columns = [pa.nulls(len(a), pa.int64()) if c is None else pa.array(c) for c in (b, bucket)]
+            return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), *columns], names=["a", "b", "bucket"])
 
         held: tuple[np.ndarray, ...] | None = None
+        cut: tuple[int, int] | None = None
         for batch in batches:
             now = (batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2).to_numpy().view(np.uint64))
             if not len(now[0]):
@@ -145,33 +166,91 @@ def candidates(marks: DataFrame, distance: int = DISTANCE, bucket: int = BUCKET)
                 now = tuple(np.concatenate(x) for x in zip(held, now))
             tail = int(np.argmax((now[0] == now[0][-1]) & (now[1] == now[1][-1])))
             if len(now[0]) - tail > bucket:
+                before, cut = cut, (int(now[0][-1]), int(now[1][-1]))
+                if before not in (None, cut):
+                    yield from found(tuple(x[:tail] for x in now), before)
+                    now, tail = tuple(x[tail:] for x in now), 0
                 tail = len(now[0])
             if tail:
-                change = np.r_[True, (now[0][1:tail] != now[0][: tail - 1]) | (now[1][1:tail] != now[1][: tail - 1])]
-                yield from found(np.cumsum(change), now[2][:tail])
+                yield from found(tuple(x[:tail] for x in now), cut)
             rest = tuple(x[tail:] for x in now)
             if tail == len(now[0]):
                 first = int(np.argmax((now[0] == now[0][-1]) & (now[1] == now[1][-1])))
                 rest = tuple(x[first : first + 1] for x in now)
             held = rest
-        if held is not None and len(held[0]) > 1:
-            yield from found(np.cumsum(np.r_[True, (held[0][1:] != held[0][:-1]) | (held[1][1:] != held[1][:-1])]), held[2])
+        if held is not None:
+            yield from found(held, cut)
 
     buckets = marks.select("fingerprint").mapInArrow(keyed, "number short, bits long, fingerprint long")
     dealt = buckets.repartition("number", "bits").sortWithinPartitions("number", "bits", "fingerprint")
-    return dealt.mapInArrow(compare, "a long, b long").distinct()
+    return dealt.mapInArrow(compare, "a long, b long, bucket long").distinct()
+
 
+def class_pairs(marked: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Pairs (a, b) of classes to verify: the first ones of two fingerprints, and those of one with its first.
 
-def class_pairs(marked: DataFrame) -> DataFrame:
-    """Pairs (a, b) of classes to verify: the first ones of two fingerprints, and those of one with its first."""
+    And the classes, and (bucket, fingerprint) of all that may have more pairs.
+    """
     classes = settle(marked.select("ref", "fingerprint").distinct(), "classes")
     firsts = settle(classes.groupBy("fingerprint").agg(F.min("ref").alias("first")), "firsts")
-    near = settle(candidates(firsts), "near")
+    met = settle(candidates(firsts), "near")
+    near = met.filter("b is not null").select("a", "b")
     left = firsts.select(F.col("fingerprint").alias("a"), F.col("first").alias("x"))
     right = firsts.select(F.col("fingerprint").alias("b"), F.col("first").alias("y"))
     between = near.join(left, "a").join(right, "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
     same = classes.join(firsts, "fingerprint").filter("ref <> first").select(F.col("first").alias("a"), F.col("ref").alias("b"))
-    return settle(between.union(same).distinct(), "pairs")
+    several = classes.groupBy("fingerprint").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("fingerprint").alias("of"))
+    both = near.withColumn("ends", F.array("a", "b")).withColumn("of", F.explode("ends")).join(several, "of", "left_semi")
+    ends = both.select(F.xxhash64("a", "b").alias("bucket"), F.explode("ends").alias("fingerprint"))
+    own = several.select(F.xxhash64("of").alias("bucket"), F.col("of").alias("fingerprint"))
+    open_ = met.filter("b is null").select("bucket", F.col("a").alias("fingerprint")).union(ends).union(own)
+    return settle(between.union(same).distinct(), "pairs"), classes, settle(open_.distinct(), "open")
+
+
+def pairs_left(open_: DataFrame, classes: DataFrame, roots: DataFrame, done: DataFrame, distance: int = DISTANCE, part_rows: int = PART) -> DataFrame:
+    """Pairs (a, b) of classes of a bucket within the distance that are in two groups and were not compared.
+
+    A bucket of many classes is dealt in parts, each of which meets each.
+    """
+    grouped = classes.join(roots, "ref", "left").withColumn("root", F.coalesce("root", "ref"))
+    members = open_.join(grouped, "fingerprint")
+    sizes = members.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n"))
+    apart = settle(sizes.filter("low <> high").select("bucket", F.ceil(F.col("n") / part_rows).alias("parts")), "apart")
+    own = F.pmod(F.xxhash64("ref"), F.col("parts"))
+    parts = members.join(apart, "bucket").withColumn("part", own)
+    others = F.transform(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1), lambda k: F.xxhash64(F.least(k, "part"), F.greatest(k, "part")))
+    dealt = parts.withColumn("deal", F.explode(others)).select("bucket", "deal", "ref", "fingerprint", "root")
+
+    def near(now: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        _, _, ref, marks, root = now
+        marks = marks.view(np.uint64)
+        for begin in range(0, len(ref), 512):
+            block = slice(begin, begin + 512)
+            hit = (np.bitwise_count(marks[block, None] ^ marks) <= distance) & (root[block, None] != root)
+            x, y = np.nonzero(hit)
+            a, b = ref[block][x], ref[y]
+            first = a < b
+            yield pa.RecordBatch.from_arrays([pa.array(a[first]), pa.array(b[first])], names=["a", "b"])
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            now = [c.to_numpy() for c in batch.columns]
+            if not batch.num_rows:
+                continue
+            if held is not None:
+                now = [np.concatenate(x) for x in zip(held, now)]
+            start = np.flatnonzero(np.r_[True, (now[0][1:] != now[0][:-1]) | (now[1][1:] != now[1][:-1])])
+            for low, high in zip(start[:-1], start[1:]):
+                yield from near([x[low:high] for x in now])
+            held = [x[start[-1] :] for x in now]
+        if held is not None:
+            yield from near(held)
+
+    sorted_ = dealt.repartition("bucket", "deal").sortWithinPartitions("bucket", "deal")
+    found = sorted_.mapInArrow(compared, "a long, b long").distinct()
+    known = done.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    return settle(found.join(known, ["a", "b"], "left_anti"), "pairs-left")
 
 
 def asked_table(keys: DataFrame) -> np.ndarray:
@@ -248,10 +327,14 @@ def verified(pairs: DataFrame, sets: DataFrame, similar: float) -> DataFrame:
 def near_copies(docs: DataFrame, width: int = WIDTH, similar: float = SIMILAR) -> tuple[DataFrame, DataFrame]:
     """Rows (doc_id, text_key, ref) and the groups (ref, root) of classes that have links."""
     marked = settle(classes_of(docs, width), "marked")
-    pairs = class_pairs(marked)
-    links = verified(pairs, shingle_sets(docs, marked, pairs, width), similar)
-    roots = settle(components(links), "roots")
-    return marked, roots.withColumnRenamed("node", "ref")
+    pairs, classes, open_ = class_pairs(marked)
+    links = settle(verified(pairs, shingle_sets(docs, marked, pairs, width), similar), "verified")
+    roots = settle(components(links).select(F.col("node").alias("ref"), "root"), "roots")
+    more = pairs_left(open_, classes, roots, pairs)
+    if not more.isEmpty():
+        links = links.union(verified(more, shingle_sets(docs, marked, more, width), similar))
+        roots = settle(components(links).select(F.col("node").alias("ref"), "root"), "roots")
+    return marked, roots
 
 
 def one_of_each(docs: DataFrame, width: int = WIDTH, similar: float = SIMILAR) -> DataFrame:

@@ -78,6 +78,19 @@ def test_many_near_copies_are_one_group(spark, bucket, monkeypatch):
     assert kept[0] == 0 and kept[-20:] == list(range(500, 520)) and len(kept) <= 23
 
 
+def test_copies_whose_first_candidates_fail_are_found(spark, monkeypatch):
+    """All fingerprints meet in all buckets; the partners of few bits that are kept are not similar, others are."""
+    rng = random.Random(8)
+    monkeypatch.setattr(nc, "class_pairs", lambda marked, real=nc.class_pairs: real(marked.withColumn("fingerprint", nc.F.pmod("ref", nc.F.lit(4)))))
+    texts = {}
+    for group in range(40):
+        base = [f"w{rng.randrange(3000)}" for _ in range(100)]
+        for n in range(2):
+            texts[2 * group + n] = " ".join(base[:-1] + [f"end{n}"])
+    kept = {r.doc_id for r in nc.one_of_each(odd.documents(spark, list(texts.items()))).collect()}
+    assert kept == set(range(0, 80, 2))
+
+
 def test_odd_rows(spark):
     docs = odd.odd_documents(spark)
     kept = nc.one_of_each(docs)

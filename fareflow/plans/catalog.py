@@ -925,7 +925,7 @@ def guarded_writes(spark, sf_dir):
 def log_in_steps(spark, sf_dir):
     # Bounded steps, the second one cut short before its offsets were stored: every offset is read once.
     folder = new_folder(spark, "steps")
-    append_table(testbed.live_log(testbed.table(spark, sf_dir, "events")), f"{folder}/log")
+    append_table(testbed.events_log(spark, sf_dir), f"{folder}/log")
     log = read_table(spark, f"{folder}/log")
     span = log.agg(F.max("offset") - F.min("offset")).first()[0]
     steps = 0
@@ -941,8 +941,7 @@ def log_in_steps(spark, sf_dir):
 def log_tail(spark, sf_dir):
     # The message log stored as a table and tailed as a stream.
     folder = new_folder(spark, "log")
-    log = testbed.live_log(testbed.table(spark, sf_dir, "events"))
-    append_table(log, f"{folder}/log")
+    append_table(testbed.events_log(spark, sf_dir), f"{folder}/log")
     tail = stream_log(spark, "parquet", path=f"{folder}/log").select("topic", "partition", "offset")
     run_to_end(append_stream(tail, f"{folder}/rows", f"{folder}/checkpoint"))
     return read_table(spark, f"{folder}/rows")

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fareflow import schemas, sinks, sources, workspace
-from fareflow.plans import gold, history
+from fareflow.plans import gold, history, testbed
 from fareflow.sources import message_log
 from fareflow.sources.message_log import offsets_option
 
@@ -101,6 +101,25 @@ def test_spread_leaves_a_wide_scan_alone(spark):
     assert sources.spread(spark.range(0, 100, 1, 1), "id").rdd.getNumPartitions() == 8
 
 
+def test_one_file_is_spread_and_a_part_of_a_stream_has_rows_for_each_core(spark, tmp_path):
+    """A file of one row group is planned as several tasks, of which one reads all rows."""
+    cores = spark.sparkContext.defaultParallelism
+    spark.range(0, 200_000, 1, 1).selectExpr("id", "sha2(string(id), 256) AS t").write.parquet(f"{tmp_path}/one")
+    one = spark.read.parquet(f"{tmp_path}/one")
+    assert one.rdd.getNumPartitions() > 1
+    assert len(sources.spread(one, "id").groupBy(F.spark_partition_id()).count().collect()) == cores
+    seen = []
+
+    def run(rows):
+        def work(batch, batch_id):
+            seen.append(len(batch.groupBy(F.spark_partition_id()).count().collect()))
+
+        sinks.run_to_end(sinks.each_batch(rows, work, f"{tmp_path}/checkpoint"))
+
+    testbed.in_parts(one, [F.col("id") < 1000, F.col("id") >= 1000], run)
+    assert seen == [cores, cores]
+
+
 def test_settled_tables_go_to_the_shared_folder(spark):
     folder = workspace.shared_folder(spark)
     assert workspace.new_folder(spark, "x").startswith(folder)

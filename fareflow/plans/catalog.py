@@ -748,17 +748,21 @@ def stream_late_rows(spark, sf_dir):
     # A clean stream whose last batch is older than the watermark. A batch is held against the
     # watermark that the batch before it began with, hence the one in between.
     folder = new_folder(spark, "late")
-    rows = clean(spark, sf_dir)
+    rows = settle(clean(spark, sf_dir), "clean")
     first, last = rows.agg(F.min("event_timestamp"), F.max("event_timestamp")).first()
     moment = F.col("event_timestamp")
     middle, late = (F.lit(first + (last - first) * share) for share in (0.5, 0.75))
-    for part in ((moment >= middle) & (moment < late), moment >= late, moment < middle):
-        append_table(rows.filter(part).coalesce(1), f"{folder}/in")
-    source = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
-    unique = streaming.drop_repeats(source, ["event_id"])
-    late = streaming.count_late_rows(
-        spark, lambda: run_to_end(append_stream(unique, f"{folder}/rows", f"{folder}/checkpoint"))
-    )
+    counts = []
+
+    def run(source):
+        unique = streaming.drop_repeats(source, ["event_id"])
+        counts.append(streaming.count_late_rows(
+            spark, lambda: run_to_end(append_stream(unique, f"{folder}/rows", f"{folder}/checkpoint"))
+        ))
+
+    with streaming.only_batches_of_rows(spark):
+        testbed.in_parts(rows, [(moment >= middle) & (moment < late), moment >= late, moment < middle], run, "late")
+    late = sum(counts)
     kept = spark.read.parquet(f"{folder}/rows")
     return kept.agg(F.count(F.lit(1)).alias("kept_rows")).withColumn("late_rows", F.lit(late).cast("bigint"))
 

@@ -1,6 +1,6 @@
 """Structured Streaming forms of the live jobs."""
 
-from fareflow.streaming.dedup import LateRows, count_late_rows, drop_repeats, state_on_disk
+from fareflow.streaming.dedup import LateRows, count_late_rows, drop_repeats, only_batches_of_rows, state_on_disk
 from fareflow.streaming.jobs import (
     follow_log,
     ingest_log,
@@ -19,6 +19,7 @@ __all__ = [
     "drop_repeats",
     "follow_log",
     "ingest_log",
+    "only_batches_of_rows",
     "read_windows",
     "refresh_gold_stream",
     "run_clean",

@@ -34,14 +34,10 @@ def drop_repeats(
 
 
 @contextmanager
-def state_on_disk(spark: SparkSession) -> Iterator[None]:
-    """Jobs started inside keep their state in RocksDB, on disk, instead of in the executors' heap.
-
-    A checkpoint stays with the store that it was made with.
-    """
-    name = "spark.sql.streaming.stateStore.providerClass"
+def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """A setting for the jobs started inside."""
     before = spark.conf.get(name, None)
-    spark.conf.set(name, ROCKSDB)
+    spark.conf.set(name, value)
     try:
         yield
     finally:
@@ -51,6 +47,19 @@ def state_on_disk(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(name, before)
 
 
+def state_on_disk(spark: SparkSession):
+    """Jobs started inside keep their state in RocksDB, on disk, instead of in the executors' heap.
+
+    A checkpoint stays with the store that it was made with.
+    """
+    return setting(spark, "spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+
+
+def only_batches_of_rows(spark: SparkSession):
+    """Jobs started inside end without the batch that has no rows and only moves the watermark on."""
+    return setting(spark, "spark.sql.streaming.noDataMicroBatches.enabled", "false")
+
+
 class LateRows(StreamingQueryListener):
     """Adds up, per run, the rows that stateful operators dropped for being older than the watermark.
 

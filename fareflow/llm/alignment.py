@@ -7,6 +7,11 @@ number of bytes they share. Where tokens of both end at the same byte a group en
 tokens by groups, A times transposed B, link all tokens of a group. The texts of a batch
 are one block-diagonal matrix, so a product is a few array operations for all of them.
 
+Texts are encoded by their words: a single space between two characters that show is always the begin of a
+token if no token of the vocabulary has such a space inside, so the stretches between such spaces have the
+same tokens wherever they occur. A worker encodes each once, new ones together in lines, and cuts the lines' tokens
+at the ends of the stretches; a line that cannot be cut there is encoded stretch by stretch.
+
 Per document the links are reduced to distinct id pairs with their times, and written. Spark counts in
 how many documents a pair occurs; the commonest pairs, at most ``COMMON`` whatever the corpus, go to
 all tasks as sorted arrays, the rarer ones are joined. Both ways give the same sums.
@@ -20,7 +25,8 @@ them; empty input gives empty output. Columns besides ``doc_id`` and ``text`` ar
 import hashlib
 import json
 import os
-from collections.abc import Iterator, Sequence
+import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import chain
 from pathlib import Path
@@ -44,6 +50,12 @@ BLOCK = 1 << 20
 COMMON = 1 << 20
 #: Links of a group product that are made at once.
 LINKS = 1 << 20
+#: The spaces at which a text is cut into stretches, and what no token may have inside for that.
+CUT, INSIDE = re.compile(r"(?<=[!-~\w]) (?=[!-~\w])"), re.compile(r"[!-~\w\ufffd] ")
+#: A stretch that can stand in a line with others, and how many of them a line has.
+SHOWS, LINE = re.compile(r"[!-~\w](.*[!-~\w])?", re.DOTALL), 256
+#: Stretches, and tokens of them, that a worker remembers before it forgets them all.
+STRETCHES, TOKENS = 200_000, 1 << 20
 
 
 def byte_letters() -> dict[str, int]:
@@ -62,11 +74,65 @@ class Coder:
         self.lengths = np.array([len(b) for b in spelled], dtype=np.int64)
         #: The ids in decimal, followed by nothing, a comma, a bar or a semicolon.
         self.numbers = [tuple(f"{i}{end}" for i in range(len(spelled))) for end in ("", ",", "|", ";")]
-
-    def tokens(self, texts: list[str]) -> list[Sequence[int] | None]:
-        """The ids of the texts; None where they do not spell it again."""
-        spell = self.spelled.__getitem__
-        return [i if b"".join(map(spell, i)) == b" " + t.encode() else None for t, i in zip(texts, self.encode(texts))]
+        self.cuts = not any(INSIDE.search(b.decode(errors="replace")) for b in spelled)
+        self.forget()
+
+    def forget(self) -> None:
+        """No stretch is known: number of each stretch, its ids from ``start[number]`` on, and if they spell it again."""
+        self.known: dict[str, int] = {}
+        self.ids, self.start, self.good = np.zeros(0, dtype=np.int32), np.zeros(1, dtype=np.int64), np.zeros(0, dtype=bool)
+
+    def spell(self, ids: list[int]) -> bytes:
+        return b"".join(map(self.spelled.__getitem__, ids))
+
+    def learn(self, new: list[str]) -> None:
+        """Encode stretches that are not known yet."""
+        lined, single = [], []
+        for word in new:
+            (lined if SHOWS.fullmatch(word) else single).append(word)
+        lines = [lined[k : k + LINE] for k in range(0, len(lined), LINE)]
+        order, ids, counts, good = [], [], [], []
+        for line, found in zip(lines, self.encode([" ".join(line) for line in lines])):
+            found = list(found)
+            ends = np.cumsum(self.lengths[found])
+            stops = np.cumsum([len(w.encode()) + 1 for w in line])
+            at = np.searchsorted(ends, stops)
+            if self.spell(found) != b" " + " ".join(line).encode() or (ends[at] != stops).any():
+                single += line
+                continue
+            order += line
+            ids += found
+            counts += np.diff(at + 1, prepend=0).tolist()
+            good += [True] * len(line)
+        for word, found in zip(single, self.encode(single)):
+            found = list(found)
+            order.append(word)
+            ids += found
+            counts.append(len(found))
+            good.append(self.spell(found) == b" " + word.encode())
+        self.known.update(zip(order, range(len(self.known), len(self.known) + len(order))))
+        self.ids = np.concatenate((self.ids, np.array(ids, dtype=np.int32)))
+        self.start = np.concatenate((self.start, self.start[-1] + np.cumsum(counts, dtype=np.int64)))
+        self.good = np.concatenate((self.good, np.array(good, dtype=bool)))
+
+    def tokens(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of all texts, which are given in stretches, the text of each id, and which texts they spell again."""
+        if not self.cuts:
+            texts = [[" ".join(t)] for t in texts]
+        if len(self.known) > STRETCHES or len(self.ids) > TOKENS:
+            self.forget()
+        words = list(chain.from_iterable(texts))
+        new = [w for w in dict.fromkeys(words) if w not in self.known]
+        if new:
+            self.learn(new)
+        number = np.fromiter(map(self.known.__getitem__, words), dtype=np.int64, count=len(words))
+        text = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+        good = np.ones(len(texts), dtype=bool)
+        good[text[~self.good[number]]] = False
+        times = np.diff(self.start)[number]
+        before = np.cumsum(times) - times
+        place = np.arange(times.sum()) + np.repeat(self.start[number] - before, times)
+        return self.ids[place].astype(np.int64), np.repeat(text, times), good
 
 
 def byte_level_coder(content: bytes) -> Coder:
@@ -222,19 +288,13 @@ class Aligned:
         return ["".join(words[x:y]) for x, y in zip(stops[:-1].tolist(), stops[1:].tolist())]
 
 
-def flat(ids: list[Sequence[int]]) -> tuple[np.ndarray, np.ndarray]:
-    counts = [len(i) for i in ids]
-    return np.fromiter(chain.from_iterable(ids), dtype=np.int64, count=sum(counts)), np.repeat(np.arange(len(ids)), counts)
-
-
 def align(texts: list[str | None], a: Coder, b: Coder) -> Aligned:
     """The tokens of the texts, their overlaps and groups; a text that is not spelled again has none."""
-    written = [t or "" for t in texts]
-    ids_a, ids_b = a.tokens(written), b.tokens(written)
-    for k, text in enumerate(written):
-        if not text or ids_a[k] is None or ids_b[k] is None:
-            ids_a[k] = ids_b[k] = ()
-    (ids_a, text_a), (ids_b, text_b) = flat(ids_a), flat(ids_b)
+    cut = [CUT.split(t or "") for t in texts]
+    (ids_a, text_a, good_a), (ids_b, text_b, good_b) = a.tokens(cut), b.tokens(cut)
+    good = good_a & good_b & np.array([bool(t) for t in texts], dtype=bool)
+    ids_a, text_a = ids_a[good[text_a]], text_a[good[text_a]]
+    ids_b, text_b = ids_b[good[text_b]], text_b[good[text_b]]
     left, right = by_bytes(a.lengths[ids_a]), by_bytes(b.lengths[ids_b])
     links = product(left, right.transposed())
     ends_a, ends_b = left.start[1:], right.start[1:]

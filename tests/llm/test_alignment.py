@@ -123,3 +123,19 @@ def test_odd_documents(spark, coders):
             assert (r.n_a, r.n_b, r.n_groups, r.n_links) == (len(x), len(y), len(groups), len(links))
     assert all(r.n_a > 1000 for r in got if r.doc_id in (5, 9, 10))
     assert al.aligned_documents(odd.no_documents(spark)).count() == 0
+
+
+def test_words_are_encoded_once_and_as_in_their_text(coders):
+    odd_parts = ["two  spaces", "a\nb", "\n x", "x \n", "it's", "'s", "«", "é", "é » a", "漢字", "。", "᠎", "x᠎", "\xa0", "a\xa0", "▁", "b ▁ c", "1 2", "<s>", "\x00", ""]
+    rng = np.random.default_rng(5)
+    texts = [" ".join(rng.choice(odd_parts, rng.integers(1, 12))) for _ in range(600)]
+    for made in (al.byte_level_coder(al.read_file(al.BYTE_LEVEL)), al.piece_coder(al.read_file(al.PIECES))):
+        asked, encode = [], made.encode
+        made.encode = lambda lines: asked.extend(lines) or encode(lines)
+        assert made.cuts
+        for part in (texts, texts):
+            ids, text, good = made.tokens([al.CUT.split(t) for t in part])
+            for k, (t, whole) in enumerate(zip(part, encode(part))):
+                assert good[k] == (made.spell(whole) == b" " + t.encode())
+                assert not good[k] or ids[text == k].tolist() == list(whole)
+        assert sum(map(len, asked)) < sum(map(len, texts))

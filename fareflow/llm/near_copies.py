@@ -6,7 +6,10 @@
    a pair at ``AIM`` bits a chance of ``FOUND`` to meet, and they have more bits as there are more fingerprints, so
    that buckets stay small. In a bucket tables of distances to pivots discard pairs, and the
    rest within ``DISTANCE`` bits are candidates, of which each fingerprint keeps two per batch of buckets.
-3. Candidates are compared by the sets of their shingles, of whole texts; those of a similarity of 0.8
+3. A sketch of a class counts its distinct shingles by ``CELLS`` cells. The sum of the smaller counts of
+   two classes is at least the number of shingles they share, so pairs for which it is too small are no
+   links; their sets are not looked at, and in buckets such pairs are never made.
+   The others are compared by the sets of their shingles, of whole texts; those of a similarity of 0.8
    or more are links, and groups are what links connect.
 4. Where buckets had more candidates than were kept, more fingerprints than are compared at once, or several
    classes of one fingerprint, all their pairs that are not in one group by now are compared too.
@@ -44,6 +47,8 @@ BUCKET = 20_000
 PART = 2048
 #: Tasks that the partners of one class are dealt to.
 SALTS = 16
+#: Cells of a sketch, one byte each; a full one stands for any count from there on.
+CELLS, FULL = 128, 255
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -63,6 +68,28 @@ def shingle_set(words: list[bytes], width: int = WIDTH) -> np.ndarray:
     return np.unique(np.array([digest(b" ".join(words[k : k + width])) >> 33 for k in range(n)], dtype=np.int32))
 
 
+def sketch(shingles: np.ndarray) -> bytes:
+    """How many of the shingles are in each cell."""
+    return np.minimum(np.bincount(shingles & (CELLS - 1), minlength=CELLS), FULL).astype(np.uint8).tobytes()
+
+
+def cells_of(column: pa.Array) -> np.ndarray:
+    """Sketches as rows of a matrix."""
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint8).reshape(-1, CELLS)
+
+
+def able(sizes: tuple[np.ndarray, np.ndarray], cells: tuple[np.ndarray, np.ndarray], similar: float) -> np.ndarray:
+    """Which pairs of classes can be links by their numbers of shingles and sketches; no link is left out."""
+    least, most = np.minimum(*sizes), np.maximum(*sizes)
+    out = least >= similar * most
+    some = np.flatnonzero(out)
+    a, b = cells[0][some], cells[1][some]
+    common = np.minimum(a, b).sum(axis=1, dtype=np.int64)
+    enough = common >= similar * (least[some] + most[some] - common)
+    out[some] = enough | ((a == FULL) & (b == FULL)).any(axis=1)
+    return out
+
+
 def few_links(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Of the links (a < b) of some buckets, for each end the one with the smallest other end.
 
@@ -79,28 +106,31 @@ def few_links(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def classes_of(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, text_key (of the text as it is), class (of its words) and fingerprint of every row."""
+    """doc_id, text_key (of the text as it is), class (of its words), fingerprint, shingles and sketch of every row."""
 
     def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[int, int] = {}
+        known: dict[int, tuple[int, int, bytes]] = {}
         for part in pieces(batches):
-            refs, marks = [], []
+            refs, found = [], []
             for text in utf8(part.column("text")):
-                ref = text_class(words_of(text))
+                words = words_of(text)
+                ref = text_class(words)
                 if ref not in known:
-                    if len(known) > 100_000:
+                    if len(known) > 50_000:
                         known.clear()
-                    known[ref] = fingerprint(text, width)
+                    own = shingle_set(words, width)
+                    known[ref] = fingerprint(text, width), len(own), sketch(own)
                 refs.append(ref)
-                marks.append(known[ref])
+                found.append(known[ref])
+            marks, sizes, sketches = zip(*found) if found else ((), (), ())
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id").cast(pa.int64()), part.column("text_key"), pa.array(refs, pa.int64()),
-                 pa.array(np.array(marks, dtype=np.uint64).view(np.int64))],
-                names=["doc_id", "text_key", "ref", "fingerprint"],
+                 pa.array(np.array(marks, dtype=np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), pa.array(sketches, pa.binary())],
+                names=["doc_id", "text_key", "ref", "fingerprint", "size", "sketch"],
             )
 
     rows = docs.select("doc_id", "text", text_key().alias("text_key"))
-    return rows.mapInArrow(marked, "doc_id long, text_key long, ref long, fingerprint long")
+    return rows.mapInArrow(marked, "doc_id long, text_key long, ref long, fingerprint long, size int, sketch binary")
 
 
 def text_key():
@@ -191,7 +221,7 @@ def class_pairs(marked: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
 
     And the classes, and (bucket, fingerprint) of all that may have more pairs.
     """
-    classes = settle(marked.select("ref", "fingerprint").distinct(), "classes")
+    classes = settle(marked.select("ref", "fingerprint", "size", "sketch").dropDuplicates(["ref"]), "classes")
     firsts = settle(classes.groupBy("fingerprint").agg(F.min("ref").alias("first")), "firsts")
     met = settle(candidates(firsts), "near")
     near = met.filter("b is not null").select("a", "b")
@@ -207,37 +237,55 @@ def class_pairs(marked: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     return settle(between.union(same).distinct(), "pairs"), classes, settle(open_.distinct(), "open")
 
 
-def pairs_left(open_: DataFrame, classes: DataFrame, roots: DataFrame, done: DataFrame, distance: int = DISTANCE, part_rows: int = PART) -> DataFrame:
-    """Pairs (a, b) of classes of a bucket within the distance that are in two groups and were not compared.
+def possible(pairs: DataFrame, classes: DataFrame, similar: float) -> DataFrame:
+    """The pairs (a, b) that can be links by their sketches."""
+    first, second = (classes.select(F.col("ref").alias(c), F.struct("size", "sketch").alias(f"of_{c}")) for c in "ab")
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sides = [batch.column(c) for c in ("of_a", "of_b")]
+            sizes, cells = zip(*((x.field("size").to_numpy(), cells_of(x.field("sketch"))) for x in sides))
+            yield batch.select(["a", "b"]).filter(pa.array(able(sizes, cells, similar)))
+
+    return settle(pairs.join(first, "a").join(second, "b").mapInArrow(look, "a long, b long"), "possible")
+
+
+def pairs_left(
+    open_: DataFrame, classes: DataFrame, roots: DataFrame, done: DataFrame, distance: int = DISTANCE, part_rows: int = PART, similar: float = SIMILAR
+) -> DataFrame:
+    """Pairs (a, b) of classes of a bucket within the distance that are in two groups, can be links and were not compared.
 
     A bucket of many classes is dealt in parts, each of which meets each.
     """
-    grouped = classes.join(roots, "ref", "left").withColumn("root", F.coalesce("root", "ref"))
+    grouped = classes.select("ref", "fingerprint").join(roots, "ref", "left").withColumn("root", F.coalesce("root", "ref"))
     members = open_.join(grouped, "fingerprint")
     sizes = members.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n"))
     apart = settle(sizes.filter("low <> high").select("bucket", F.ceil(F.col("n") / part_rows).alias("parts")), "apart")
     own = F.pmod(F.xxhash64("ref"), F.col("parts"))
     parts = members.join(apart, "bucket").withColumn("part", own)
     others = F.transform(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1), lambda k: F.xxhash64(F.least(k, "part"), F.greatest(k, "part")))
-    dealt = parts.withColumn("deal", F.explode(others)).select("bucket", "deal", "ref", "fingerprint", "root")
+    sketched = parts.join(classes.select("ref", "size", "sketch"), "ref")
+    dealt = sketched.withColumn("deal", F.explode(others)).select("bucket", "deal", "ref", "fingerprint", "root", "size", "sketch")
 
     def near(now: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        _, _, ref, marks, root = now
+        _, _, ref, marks, root, size, cells = now
         marks = marks.view(np.uint64)
         for begin in range(0, len(ref), 512):
             block = slice(begin, begin + 512)
             hit = (np.bitwise_count(marks[block, None] ^ marks) <= distance) & (root[block, None] != root)
             x, y = np.nonzero(hit)
-            a, b = ref[block][x], ref[y]
-            first = a < b
-            yield pa.RecordBatch.from_arrays([pa.array(a[first]), pa.array(b[first])], names=["a", "b"])
+            x += begin
+            first = np.flatnonzero(ref[x] < ref[y])
+            for few in (first[k : k + 50_000] for k in range(0, len(first), 50_000)):
+                few = few[able((size[x[few]], size[y[few]]), (cells[x[few]], cells[y[few]]), similar)]
+                yield pa.RecordBatch.from_arrays([pa.array(ref[x[few]]), pa.array(ref[y[few]])], names=["a", "b"])
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
         for batch in batches:
-            now = [c.to_numpy() for c in batch.columns]
             if not batch.num_rows:
                 continue
+            now = [*(c.to_numpy() for c in batch.columns[:-1]), cells_of(batch.columns[-1])]
             if held is not None:
                 now = [np.concatenate(x) for x in zip(held, now)]
             start = np.flatnonzero(np.r_[True, (now[0][1:] != now[0][:-1]) | (now[1][1:] != now[1][:-1])])
@@ -328,9 +376,10 @@ def near_copies(docs: DataFrame, width: int = WIDTH, similar: float = SIMILAR) -
     """Rows (doc_id, text_key, ref) and the groups (ref, root) of classes that have links."""
     marked = settle(classes_of(docs, width), "marked")
     pairs, classes, open_ = class_pairs(marked)
-    links = settle(verified(pairs, shingle_sets(docs, marked, pairs, width), similar), "verified")
+    some = possible(pairs, classes, similar)
+    links = settle(verified(some, shingle_sets(docs, marked, some, width), similar), "verified")
     roots = settle(components(links).select(F.col("node").alias("ref"), "root"), "roots")
-    more = pairs_left(open_, classes, roots, pairs)
+    more = pairs_left(open_, classes, roots, pairs, similar=similar)
     if not more.isEmpty():
         links = links.union(verified(more, shingle_sets(docs, marked, more, width), similar))
         roots = settle(components(links).select(F.col("node").alias("ref"), "root"), "roots")

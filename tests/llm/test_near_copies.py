@@ -4,6 +4,7 @@ import random
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import odd
 import plain
 import pytest
@@ -103,3 +104,38 @@ def test_odd_rows(spark):
     assert sorted((r.doc_id, r.text) for r in nc.one_of_each(odd.documents(spark, rows)).collect()) == [
         (3, "The same  words"), (3, "another one"), (3, "other")
     ]
+
+
+def test_sketches_leave_out_no_link_and_most_others():
+    rng = np.random.default_rng(8)
+    base = [rng.choice(2**31, size=int(n), replace=False).astype(np.int32) for n in rng.integers(1, 400, 40)] + [np.zeros(0, dtype=np.int32)]
+    base.append((np.arange(2 * nc.FULL) * nc.CELLS).astype(np.int32))
+    sets = [np.unique(np.r_[s[: max(1, int(len(s) * part))], rng.choice(2**31, size=int(len(s) * more))]).astype(np.int32)
+            for s in base for part, more in ((1, 0), (0.95, 0.04), (0.9, 0.1), (0.85, 0.05), (0.6, 0.4), (0.5, 0.5))]
+    sizes = np.array([len(s) for s in sets])
+    cells = nc.cells_of(pa.array([nc.sketch(s) for s in sets]))
+    x, y = np.triu_indices(len(sets), 1)
+    kept = nc.able((sizes[x], sizes[y]), (cells[x], cells[y]), nc.SIMILAR)
+    common = np.array([len(np.intersect1d(sets[i], sets[j])) for i, j in zip(x, y)])
+    links = common >= nc.SIMILAR * (sizes[x] + sizes[y] - common)
+    assert links.sum() > 100 and kept[links].all()
+    assert kept.sum() < links.sum() + 0.05 * len(x)
+
+
+def test_pairs_of_a_crowded_bucket_that_cannot_be_links_are_not_made(spark, tmp_path):
+    words = [f"w{k}" for k in range(400)]
+    rng = np.random.default_rng(9)
+    texts = [" ".join(rng.choice(words, 60)) for _ in range(60)]
+    texts += [f"{t} more" for t in texts[:20]]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    marked = nc.settle(nc.classes_of(docs, nc.WIDTH).withColumn("fingerprint", nc.F.col("ref") % 8), "marked")
+    pairs, classes, open_ = nc.class_pairs(marked)
+    none = classes.limit(0).select("ref", nc.F.col("ref").alias("root"))
+    left = nc.pairs_left(open_, classes, none, pairs.limit(0), distance=64)
+    found = {frozenset(r) for r in left.union(nc.possible(pairs, classes, nc.SIMILAR)).collect()}
+    refs = [nc.text_class(nc.words_of(t.encode())) for t in texts]
+    own = [set(nc.shingle_set(nc.words_of(t.encode())).tolist()) for t in texts]
+    met = {frozenset((refs[k], refs[60 + k])) for k in range(20) if len(own[k] & own[60 + k]) >= nc.SIMILAR * len(own[k] | own[60 + k])}
+    assert len(met) == 20 and len(found) < 40
+    _, roots = nc.near_copies(docs)
+    assert roots.count() == 40

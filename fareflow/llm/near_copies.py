@@ -5,13 +5,14 @@
 2. Fingerprints meet in buckets, those that agree in a chosen set of bits; there are as many sets as give
    a pair at ``AIM`` bits a chance of ``FOUND`` to meet, and they have more bits as there are more fingerprints, so
    that buckets stay small. In a bucket tables of distances to pivots discard pairs, and the
-   rest within ``DISTANCE`` bits are candidates, of which each fingerprint keeps two per batch of buckets.
+   rest within ``DISTANCE`` bits are candidates, of which each fingerprint keeps two over all buckets: the
+   nearest and the smallest. So there are no more than two candidates per fingerprint, however large its group.
 3. A sketch of a class counts its distinct shingles by ``CELLS`` cells. The sum of the smaller counts of
    two classes is at least the number of shingles they share, so pairs for which it is too small are no
    links; their sets are not looked at, and in buckets such pairs are never made.
    The others are compared by the sets of their shingles, of whole texts; those of a similarity of 0.8
    or more are links, and groups are what links connect.
-4. Where buckets had more candidates than were kept, more fingerprints than are compared at once, or several
+4. Where there were more candidates than were kept, more fingerprints than are compared at once, or several
    classes of one fingerprint, all their pairs that are not in one group by now are compared too.
 
 Rows: null texts and texts without words are one class; texts of fewer than five words have their
@@ -47,6 +48,8 @@ BUCKET = 20_000
 PART = 2048
 #: Tasks that the partners of one class are dealt to.
 SALTS = 16
+#: Times that each class is compared with few others before all pairs that are not in one group by then are.
+ROUNDS = 2
 #: Cells of a sketch, one byte each; a full one stands for any count from there on.
 CELLS, FULL = 128, 255
 
@@ -91,16 +94,15 @@ def able(sizes: tuple[np.ndarray, np.ndarray], cells: tuple[np.ndarray, np.ndarr
 
 
 def few_links(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of the links (a < b) of some buckets, for each end the one with the smallest other end.
+    """Of the links (a < b) of some buckets, for each end the nearest and the smallest other end.
 
-    Near copies in a bucket are linked to nearly all others there; two links of each do to connect them, and
-    they meet in other buckets again.
+    Near copies in a bucket are linked to nearly all others there; few links of each do to connect most of them.
     """
+    far = np.bitwise_count(a ^ b)
     kept = []
     for own, other in ((a, b), (b, a)):
-        order = np.lexsort((other, own))
-        first = np.r_[True, own[order][1:] != own[order][:-1]]
-        kept.append(order[first])
+        for order in (np.lexsort((other, own)), np.lexsort((other, far, own))):
+            kept.append(order[np.r_[True, own[order][1:] != own[order][:-1]]])
     some = np.unique(np.concatenate(kept))
     return a[some], b[some]
 
@@ -149,7 +151,8 @@ def bit_sets(n: int) -> np.ndarray:
 def candidates(marks: DataFrame, distance: int = DISTANCE, bucket: int = BUCKET) -> DataFrame:
     """Pairs (a, b) of distinct fingerprints within the distance that met in a bucket, some of many.
 
-    Rows with ``bucket`` and without ``b`` are the fingerprints of buckets that may have had more pairs.
+    ``alone`` are those that no other pair of their bucket stands beside. Rows with ``bucket`` and without ``b``
+    are the fingerprints of buckets that may have had more pairs.
     """
     masks, references = bit_sets(marks.count()), pivots(PIVOTS)
 
@@ -173,18 +176,20 @@ def candidates(marks: DataFrame, distance: int = DISTANCE, bucket: int = BUCKET)
             if parts:
                 a, b = (np.concatenate(x) for x in zip(*parts))
                 met = np.isin(own, np.union1d(a, b))
-                held |= met & (np.bincount(keys[met], minlength=keys[-1] + 1) > 2)[keys]
-                low, high = np.minimum(a, b), np.maximum(a, b)
-                low, high = few_links(low, high)
-                yield batch_of(low, high.view(np.int64), None)
+                several = (np.bincount(keys[met], minlength=keys[-1] + 1) > 2)[keys]
+                held |= met & several
+                two = own[met & ~several & (np.bincount(keys[met], minlength=keys[-1] + 1) == 2)[keys]].reshape(-1, 2)
+                two = two[np.bitwise_count(two[:, 0] ^ two[:, 1]) <= distance]
+                yield batch_of(two.min(axis=1), two.max(axis=1), None, True)
+                yield batch_of(*few_links(np.minimum(a, b), np.maximum(a, b)), None, False)
             if held.any():
                 with np.errstate(over="ignore"):
                     bucket = (bits[held] * np.int64(-7046029254386353131)) ^ number[held]
-                yield batch_of(own[held], None, bucket)
+                yield batch_of(own[held], None, bucket, False)
 
-        def batch_of(a: np.ndarray, b: np.ndarray | None, bucket: np.ndarray | None) -> pa.RecordBatch:
-            columns = [pa.nulls(len(a), pa.int64()) if c is None else pa.array(c) for c in (b, bucket)]
-            return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), *columns], names=["a", "b", "bucket"])
+        def batch_of(a: np.ndarray, b: np.ndarray | None, bucket: np.ndarray | None, alone: bool) -> pa.RecordBatch:
+            columns = [pa.nulls(len(a), pa.int64()) if c is None else pa.array(c.view(np.int64)) for c in (a, b, bucket)]
+            return pa.RecordBatch.from_arrays([*columns, pa.array(np.full(len(a), alone))], names=["a", "b", "bucket", "alone"])
 
         held: tuple[np.ndarray, ...] | None = None
         cut: tuple[int, int] | None = None
@@ -213,7 +218,20 @@ def candidates(marks: DataFrame, distance: int = DISTANCE, bucket: int = BUCKET)
 
     buckets = marks.select("fingerprint").mapInArrow(keyed, "number short, bits long, fingerprint long")
     dealt = buckets.repartition("number", "bits").sortWithinPartitions("number", "bits", "fingerprint")
-    return dealt.mapInArrow(compare, "a long, b long, bucket long").distinct()
+    return dealt.mapInArrow(compare, "a long, b long, bucket long, alone boolean").distinct()
+
+
+def kept_pairs(met: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of the candidates, for each fingerprint the pairs with the nearest and the smallest other, and those left that are alone."""
+    pairs = met.filter("b is not null").groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.max("alone").alias("alone"))
+    ends = pairs.select("a", "b").union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    far = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
+    best = ends.groupBy("a").agg(F.array(F.min("b"), F.min(F.struct(far.alias("far"), "b"))["b"]).alias("others"))
+    ends = best.select("a", F.explode("others").alias("b"))
+    kept = settle(ends.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "kept-pairs")
+    both = pairs.filter("alone").select("a", "b", F.lit(False).alias("kept")).union(kept.withColumn("kept", F.lit(True)))
+    marked = both.groupBy("a", "b").agg(F.max("kept").alias("kept"))
+    return kept, marked.filter("not kept").select("a", "b")
 
 
 def class_pairs(marked: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -224,13 +242,14 @@ def class_pairs(marked: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     classes = settle(marked.select("ref", "fingerprint", "size", "sketch").dropDuplicates(["ref"]), "classes")
     firsts = settle(classes.groupBy("fingerprint").agg(F.min("ref").alias("first")), "firsts")
     met = settle(candidates(firsts), "near")
-    near = met.filter("b is not null").select("a", "b")
+    near, beside = kept_pairs(met)
     left = firsts.select(F.col("fingerprint").alias("a"), F.col("first").alias("x"))
     right = firsts.select(F.col("fingerprint").alias("b"), F.col("first").alias("y"))
     between = near.join(left, "a").join(right, "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
     same = classes.join(firsts, "fingerprint").filter("ref <> first").select(F.col("first").alias("a"), F.col("ref").alias("b"))
     several = classes.groupBy("fingerprint").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("fingerprint").alias("of"))
     both = near.withColumn("ends", F.array("a", "b")).withColumn("of", F.explode("ends")).join(several, "of", "left_semi")
+    both = both.select("a", "b", "ends").union(beside.withColumn("ends", F.array("a", "b")))
     ends = both.select(F.xxhash64("a", "b").alias("bucket"), F.explode("ends").alias("fingerprint"))
     own = several.select(F.xxhash64("of").alias("bucket"), F.col("of").alias("fingerprint"))
     open_ = met.filter("b is null").select("bucket", F.col("a").alias("fingerprint")).union(ends).union(own)
@@ -250,12 +269,23 @@ def possible(pairs: DataFrame, classes: DataFrame, similar: float) -> DataFrame:
     return settle(pairs.join(first, "a").join(second, "b").mapInArrow(look, "a long, b long"), "possible")
 
 
+def most_alike(a: np.ndarray, b: np.ndarray, alike: np.ndarray, root_a: np.ndarray, root_b: np.ndarray) -> np.ndarray:
+    """Of the pairs (a, b) for each end the most alike one and one with the other group of the smallest root."""
+    kept = []
+    for own, other, root in ((a, b, root_b), (b, a, root_a)):
+        for order in (np.lexsort((other, -alike, own)), np.lexsort((other, root, own))):
+            kept.append(order[np.r_[True, own[order][1:] != own[order][:-1]]])
+    return np.unique(np.concatenate(kept))
+
+
 def pairs_left(
-    open_: DataFrame, classes: DataFrame, roots: DataFrame, done: DataFrame, distance: int = DISTANCE, part_rows: int = PART, similar: float = SIMILAR
+    open_: DataFrame, classes: DataFrame, roots: DataFrame, done: DataFrame, distance: int = DISTANCE, part_rows: int = PART, similar: float = SIMILAR,
+    few: bool = False,
 ) -> DataFrame:
     """Pairs (a, b) of classes of a bucket within the distance that are in two groups, can be links and were not compared.
 
-    A bucket of many classes is dealt in parts, each of which meets each.
+    A bucket of many classes is dealt in parts, each of which meets each. With ``few`` each class has two of its
+    pairs at most, the most alike by the sketches and one with the group of the smallest root.
     """
     grouped = classes.select("ref", "fingerprint").join(roots, "ref", "left").withColumn("root", F.coalesce("root", "ref"))
     members = open_.join(grouped, "fingerprint")
@@ -267,18 +297,32 @@ def pairs_left(
     sketched = parts.join(classes.select("ref", "size", "sketch"), "ref")
     dealt = sketched.withColumn("deal", F.explode(others)).select("bucket", "deal", "ref", "fingerprint", "root", "size", "sketch")
 
+    names = ["a", "b", "alike", "root_a", "root_b"]
+
     def near(now: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         _, _, ref, marks, root, size, cells = now
         marks = marks.view(np.uint64)
+        best = (np.zeros(0, dtype=np.int64),) * 5
         for begin in range(0, len(ref), 512):
             block = slice(begin, begin + 512)
             hit = (np.bitwise_count(marks[block, None] ^ marks) <= distance) & (root[block, None] != root)
             x, y = np.nonzero(hit)
             x += begin
             first = np.flatnonzero(ref[x] < ref[y])
-            for few in (first[k : k + 50_000] for k in range(0, len(first), 50_000)):
-                few = few[able((size[x[few]], size[y[few]]), (cells[x[few]], cells[y[few]]), similar)]
-                yield pa.RecordBatch.from_arrays([pa.array(ref[x[few]]), pa.array(ref[y[few]])], names=["a", "b"])
+            for some in (first[k : k + 50_000] for k in range(0, len(first), 50_000)):
+                some = some[able((size[x[some]], size[y[some]]), (cells[x[some]], cells[y[some]]), similar)]
+                i, j = x[some], y[some]
+                common = np.minimum(cells[i], cells[j]).sum(axis=1, dtype=np.int64)
+                alike = common * 1_000_000 // np.maximum(1, size[i].astype(np.int64) + size[j] - common)
+                found = ref[i], ref[j], alike, root[i], root[j]
+                if few and len(some):
+                    best = tuple(np.concatenate(c) for c in zip(best, found))
+                    chosen = most_alike(*best)
+                    best = tuple(c[chosen] for c in best)
+                elif not few:
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in found], names=names)
+        if len(best[0]):
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in best], names=names)
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -296,7 +340,12 @@ def pairs_left(
             yield from near(held)
 
     sorted_ = dealt.repartition("bucket", "deal").sortWithinPartitions("bucket", "deal")
-    found = sorted_.mapInArrow(compared, "a long, b long").distinct()
+    met = sorted_.mapInArrow(compared, "a long, b long, alike long, root_a long, root_b long")
+    if few:
+        turned = met.select(F.col("b").alias("a"), F.col("a").alias("b"), "alike", F.col("root_b").alias("root_a"), F.col("root_a").alias("root_b"))
+        best = met.union(turned).groupBy("a").agg(F.array(F.max(F.struct("alike", "b"))["b"], F.min(F.struct("root_b", "b"))["b"]).alias("others"))
+        met = best.select("a", F.explode("others").alias("b"))
+    found = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     known = done.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     return settle(found.join(known, ["a", "b"], "left_anti"), "pairs-left")
 
@@ -379,9 +428,13 @@ def near_copies(docs: DataFrame, width: int = WIDTH, similar: float = SIMILAR) -
     some = possible(pairs, classes, similar)
     links = settle(verified(some, shingle_sets(docs, marked, some, width), similar), "verified")
     roots = settle(components(links).select(F.col("node").alias("ref"), "root"), "roots")
-    more = pairs_left(open_, classes, roots, pairs, similar=similar)
-    if not more.isEmpty():
-        links = links.union(verified(more, shingle_sets(docs, marked, more, width), similar))
+    done = pairs
+    for few in (True,) * ROUNDS + (False,):
+        more = pairs_left(open_, classes, roots, done, similar=similar, few=few)
+        if more.isEmpty():
+            continue
+        done = done.union(more)
+        links = links.union(settle(verified(more, shingle_sets(docs, marked, more, width), similar), "verified"))
         roots = settle(components(links).select(F.col("node").alias("ref"), "root"), "roots")
     return marked, roots
 

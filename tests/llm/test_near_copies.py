@@ -139,3 +139,34 @@ def test_pairs_of_a_crowded_bucket_that_cannot_be_links_are_not_made(spark, tmp_
     assert len(met) == 20 and len(found) < 40
     _, roots = nc.near_copies(docs)
     assert roots.count() == 40
+
+
+def test_candidates_of_a_large_group_are_two_per_fingerprint(spark):
+    rng = random.Random(11)
+    marks = {sum(1 << k for k in rng.sample(range(63), 5)) for _ in range(2000)}
+    rows = [(k, mark, 0, bytes(nc.CELLS)) for k, mark in enumerate(sorted(marks))]
+    marked = spark.createDataFrame(rows, "ref long, fingerprint long, size int, sketch binary")
+    pairs, _, open_ = nc.class_pairs(marked)
+    assert len(marks) // 2 <= pairs.count() <= 2 * len(marks)
+    assert open_.select("fingerprint").distinct().count() >= 0.95 * len(marks)
+
+
+def test_pairs_that_are_not_kept_are_compared_later(spark):
+    rows = [(0, 1), (0, 3), (0, 2), (1, 3), (2, 3), (3, 11), (1, 2), (-1, -2)]
+    met = spark.createDataFrame([(a, b, None, b != 11) for a, b in rows], "a long, b long, bucket long, alone boolean")
+    kept, beside = ({tuple(r) for r in df.collect()} for df in nc.kept_pairs(met))
+    assert kept == {(0, 1), (0, 2), (0, 3), (1, 3), (3, 11), (-2, -1)} and beside == {(1, 2), (2, 3)}
+
+
+def test_classes_of_a_bucket_have_two_pairs_at_most_before_all_pairs(spark):
+    texts = [" ".join(f"w{j}" for j in range(100)) + f" end{k}" for k in range(30)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    marked = nc.settle(nc.classes_of(docs, nc.WIDTH), "marked")
+    classes = marked.select("ref", "fingerprint", "size", "sketch")
+    open_ = classes.select(nc.F.lit(1).cast("long").alias("bucket"), "fingerprint").distinct()
+    none = classes.limit(0)
+    roots, done = none.select("ref", nc.F.col("ref").alias("root")), none.select(nc.F.col("ref").alias("a"), nc.F.col("ref").alias("b"))
+    few = {tuple(r) for r in nc.pairs_left(open_, classes, roots, done, distance=64, few=True).collect()}
+    every = {tuple(r) for r in nc.pairs_left(open_, classes, roots, done, distance=64).collect()}
+    assert few < every and len(few) <= 60 and len(every) == 30 * 29 // 2
+    assert {x for pair in few for x in pair} == {x for pair in every for x in pair}

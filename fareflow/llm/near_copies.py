@@ -98,15 +98,17 @@ def few_links(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
     Near copies in a bucket are linked to nearly all others there; few links of each do to connect most of them.
     """
-    far = np.bitwise_count(a ^ b)
-    kept = []
-    for own, other in ((a, b), (b, a)):
-        for order in (np.lexsort((other, own)), np.lexsort((other, far, own))):
-            kept.append(order[np.r_[True, own[order][1:] != own[order][:-1]]])
-    some = np.unique(np.concatenate(kept))
+    own, other = np.r_[a, b], np.r_[b, a]
+    some = first_of_each(own, (np.lexsort((other, own)), np.lexsort((other, np.bitwise_count(own ^ other), own))))
     return a[some], b[some]
 
 
+def first_of_each(own: np.ndarray, orders: tuple[np.ndarray, ...]) -> np.ndarray:
+    """Numbers of the pairs that come first for an end in one of the orders; ``own`` has the one ends of all, then the others."""
+    firsts = [order[np.r_[True, own[order][1:] != own[order][:-1]]] for order in orders]
+    return np.unique(np.concatenate(firsts) % (len(own) // 2))
+
+
 def classes_of(docs: DataFrame, width: int) -> DataFrame:
     """doc_id, text_key (of the text as it is), class (of its words), fingerprint, shingles and sketch of every row."""
 
@@ -271,11 +273,8 @@ def possible(pairs: DataFrame, classes: DataFrame, similar: float) -> DataFrame:
 
 def most_alike(a: np.ndarray, b: np.ndarray, alike: np.ndarray, root_a: np.ndarray, root_b: np.ndarray) -> np.ndarray:
     """Of the pairs (a, b) for each end the most alike one and one with the other group of the smallest root."""
-    kept = []
-    for own, other, root in ((a, b, root_b), (b, a, root_a)):
-        for order in (np.lexsort((other, -alike, own)), np.lexsort((other, root, own))):
-            kept.append(order[np.r_[True, own[order][1:] != own[order][:-1]]])
-    return np.unique(np.concatenate(kept))
+    own, other, root = np.r_[a, b], np.r_[b, a], np.r_[root_b, root_a]
+    return first_of_each(own, (np.lexsort((-other, -np.r_[alike, alike], own)), np.lexsort((other, root, own))))
 
 
 def pairs_left(
@@ -284,8 +283,8 @@ def pairs_left(
 ) -> DataFrame:
     """Pairs (a, b) of classes of a bucket within the distance that are in two groups, can be links and were not compared.
 
-    A bucket of many classes is dealt in parts, each of which meets each. With ``few`` each class has two of its
-    pairs at most, the most alike by the sketches and one with the group of the smallest root.
+    A bucket of many classes is dealt in parts, each of which meets each. With ``few`` each class chooses two of its
+    pairs, the most alike by the sketches and one with the group of the smallest root.
     """
     grouped = classes.select("ref", "fingerprint").join(roots, "ref", "left").withColumn("root", F.coalesce("root", "ref"))
     members = open_.join(grouped, "fingerprint")

@@ -59,6 +59,23 @@ def test_a_large_table_in_one_part_is_trained_on_by_many_tasks(rows, monkeypatch
     assert dealt.rmse == pytest.approx(alone.rmse, rel=1e-6)
 
 
+def test_training_has_few_tasks_and_rows_in_the_order_of_their_features(rows, monkeypatch):
+    seen = []
+
+    class Watched(pricing.models.LinearRegression):
+        def _fit(self, dataset):
+            seen.append(dataset.rdd.map(lambda r: tuple(r.features.toArray()[-3:])).glom().collect())
+            return super()._fit(dataset)
+
+    monkeypatch.setattr(pricing.models, "TASK_ROWS", 10)
+    pricing.fit_models(rows.coalesce(1), {"LinearRegression": Watched(labelCol="price")})
+    monkeypatch.setattr(pricing.models, "TASK_ROWS", 2)
+    pricing.fit_models(rows.coalesce(1), {"LinearRegression": Watched(labelCol="price")})
+    assert [len(parts) for parts in seen] == [12, 30]
+    assert sum(map(len, seen[0])) == sum(map(len, seen[1])) > 400
+    assert all(part == sorted(part) for parts in seen for part in parts)
+
+
 def test_metrics_equal_the_evaluator(fitted, rows):
     scored = pricing.score(fitted[0]["LinearRegression"], rows.dropna())
     ours = pricing.regression_metrics(scored).first()
